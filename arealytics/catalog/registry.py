@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from arealytics.catalog.views import Inputs, compose
+from arealytics.session import apply_settings
 
 Build = Callable[[Inputs], DataFrame]
 
@@ -28,7 +29,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return QUERIES[name](Inputs(spark, folder))
+    return QUERIES[name](Inputs(apply_settings(spark), folder))
 
 
 def sql_of(name: str) -> str:

@@ -13,8 +13,9 @@ def _blanked(name: str, blanks: Sequence[str]) -> Column:
 
 
 def _number(column: Column) -> Column:
-    """NaN never enters the engine; it is the null of text tables."""
-    return F.when(~F.isnan(column), column)
+    """NaN never enters the engine; it is the null of text tables.  ``nanvl``
+    evaluates its argument once, which keeps the generated code small."""
+    return F.nanvl(column, F.lit(None).cast("double"))
 
 
 def clean_numeric(

@@ -105,16 +105,16 @@ def exact_quantiles(
     ranked = positions(
         df.select(F.col(column).alias("_v")).where(F.col("_v").isNotNull()),
         ["_v"],
-        "_at",
+        "_place",
     )
-    last = ranked.agg(F.max("_at")).first()[0]
+    last = ranked.agg(F.max("_place")).first()[0]
     if last is None:
         return []
     exact = [last * p for p in probabilities]
     wanted = sorted({f(x) for x in exact for f in (math.floor, math.ceil)})
     found = {
-        row["_at"]: row["_v"]
-        for row in ranked.where(F.col("_at").isin(wanted)).collect()
+        row["_place"]: row["_v"]
+        for row in ranked.where(F.col("_place").isin(wanted)).collect()
     }  # two rows per probability
     cuts = []
     for x in exact:

@@ -30,25 +30,21 @@ def use_id() -> Column:
     )
 
 
-def positions(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """0-based position of every row in the total order of ``order``.
-
-    Rows are range-partitioned and sorted inside their partition, so no task
-    sees more than its range; a partition's offset is the count of the rows
-    before it, from one row per partition.  The positions are pinned because
-    range bounds come from a sample and must not be drawn twice.
-    """
-    ranged = (
+def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows in range partitions, each numbered inside its partition.  Pinned:
+    range bounds come from a sample and must not be drawn twice."""
+    return pin(
         df.repartitionByRange(shuffle_width(df), *order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
-    ranged = pin(ranged)
+
+
+def _numbered(ranged: DataFrame, name: str) -> DataFrame:
+    """Partition offset plus place in the partition."""
     part = F.shiftright(F.col("_at"), _POSITION_BITS)
-    before = Window.orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # one row per shuffle partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range partition: bounded by the shuffle width
     offsets = (
         ranged.groupBy(part.alias("_part"))
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -61,13 +57,21 @@ def positions(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     return (
         ranged.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn(
-            name, F.col("_offset") + F.col("_at").bitwiseAND(F.lit(mask))
-        )
+        .withColumn(name, F.col("_offset") + F.col("_at").bitwiseAND(F.lit(mask)))
         .drop("_part", "_offset", "_at")
     )
 
 
+def positions(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """0-based position of every row in the total order of ``order``.
+
+    Rows are range-partitioned and sorted inside their partition, so no task
+    sees more than its range; a partition's offset is the count of the rows
+    before it, from one row per partition.
+    """
+    return _numbered(_ranged(df, order), name)
+
+
 def dense_index(
     df: DataFrame, keys: Sequence[str], name: str = "use_index"
 ) -> DataFrame:
@@ -80,14 +84,10 @@ def dense_index(
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
-    distinct = df.select(*keys).where(present).distinct()
-    small = fits_broadcast(distinct)
-    numbered = positions(distinct, keys, name)
-    after_last = numbered.agg(
-        (F.coalesce(F.max(name), F.lit(-1)) + 1).alias("_n")
-    ).scalar()
+    ranged = _ranged(df.select(*keys).where(present).distinct(), keys)
+    after_last = ranged.agg(F.count(F.lit(1))).scalar()
     return (
-        lookup_join(df, numbered, keys, "left", small)
+        lookup_join(df, _numbered(ranged, name), keys, "left", fits_broadcast(ranged))
         .withColumn(name, F.coalesce(F.col(name), after_last))
         .drop(*keys)
     )

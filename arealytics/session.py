@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,12 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 # shuffle partitions, turns a sort-merge join into a broadcast join once the
 # measured side is small, and splits skewed partitions.  The forced skew join
 # accepts one more shuffle rather than one overloaded task.
+#
+# Methods above 8000 bytes of bytecode are never compiled by the JVM.  With the
+# limit at that size a wide projection falls back to split, compiled methods
+# instead of running interpreted inside one large stage.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -26,6 +32,8 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings above; ``conf`` uses ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
+    # call-site capture on every column costs more than building small plans
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master is not None:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
@@ -35,26 +43,37 @@ def build_session(
     return builder.getOrCreate()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """The settings above on a session built elsewhere; sizing is left alone."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; one of our own only in local mode."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        if not context.master.startswith("local"):
-            raise ValueError(
-                "set spark.checkpoint.dir to a folder every executor can reach"
-            )
-        configured = tempfile.mkdtemp(prefix="arealytics-checkpoint-")
-    context.setCheckpointDir(configured)
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None:
+            if not context.master.startswith("local"):
+                raise ValueError(
+                    "set spark.checkpoint.dir to a folder every executor can reach"
+                )
+            configured = tempfile.mkdtemp(prefix="arealytics-checkpoint-")
+        context.setCheckpointDir(configured)
+    return context.getCheckpointDir()
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     Used where a later step must see the very same rows twice (positions given
-    by a sampled range partitioning): a lost executor then re-reads the written
-    files instead of sampling anew.
+    by a sampled range partitioning) or would compute them several times.  A
+    lost executor re-reads the files instead of sampling anew, column pruning
+    still works, and the optimizer knows the real size from then on.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    folder = f"{_shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
