@@ -12,7 +12,7 @@ Parts of one shape must not overlap each other.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -78,6 +78,12 @@ def ring_area(rings: Column) -> Column:
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and use it under a name.  A column used
+    inside a lambda is otherwise worked out again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def ring_centroid(rings: Column) -> Column:
     """``struct(x, y)``, moments taken relative to the first vertex."""
     x0, y0 = _origin(F.element_at(rings, 1)["points"])
@@ -88,50 +94,49 @@ def ring_centroid(rings: Column) -> Column:
             ring["hole"], F.lit(-1.0)
         ).otherwise(F.lit(1.0))
 
-        def add(m: Column, s: Column) -> Column:
+        def add(m: Column, s: Column, turn: Column) -> Column:
             ax, ay = s["ax"] - x0, s["ay"] - y0
             bx, by = s["bx"] - x0, s["by"] - y0
-            cross = (ax * by - bx * ay) * sign
+            cross = (ax * by - bx * ay) * turn
             return F.struct(
                 (m["a"] + cross).alias("a"),
                 (m["x"] + (ax + bx) * cross).alias("x"),
                 (m["y"] + (ay + by) * cross).alias("y"),
             )
 
-        return F.aggregate(sides, acc, add)
+        return _let(
+            sign, lambda turn: F.aggregate(sides, acc, lambda m, s: add(m, s, turn))
+        )
 
     start = F.struct(_zero().alias("a"), _zero().alias("x"), _zero().alias("y"))
-    total = F.aggregate(rings, start, moments)
-    return F.when(
-        total["a"] != 0,
-        F.struct(
-            (x0 + total["x"] / (total["a"] * 3.0)).alias("x"),
-            (y0 + total["y"] / (total["a"] * 3.0)).alias("y"),
+    return _let(
+        F.aggregate(rings, start, moments),
+        lambda total: F.when(
+            total["a"] != 0,
+            F.struct(
+                (x0 + total["x"] / (total["a"] * 3.0)).alias("x"),
+                (y0 + total["y"] / (total["a"] * 3.0)).alias("y"),
+            ),
         ),
     )
 
 
-def interior_point(rings: Column) -> Column:
-    """A point inside the shape: middle of the widest inside stretch of the
-    horizontal line halfway between the vertex heights around the box centre."""
-    sides = F.flatten(F.transform(rings, lambda r: _sides(r["points"])))
-    heights = F.transform(sides, lambda s: s["ay"])
+def _scan_line(heights: Column) -> Column:
+    """Halfway between the vertex heights just below and above the middle."""
     middle = (F.array_min(heights) + F.array_max(heights)) / 2.0
-    below = F.array_max(F.filter(heights, lambda h: h <= middle))
-    above = F.array_min(F.filter(heights, lambda h: h > middle))
-    level = (below + above) / 2.0
-    crossing = F.filter(
-        sides,
-        lambda s: (F.least(s["ay"], s["by"]) <= level)
-        & (F.greatest(s["ay"], s["by"]) > level),
-    )
-    xs = F.array_sort(
-        F.transform(
-            crossing,
-            lambda s: s["ax"]
-            + (level - s["ay"]) * (s["bx"] - s["ax"]) / (s["by"] - s["ay"]),
+    return _let(
+        middle,
+        lambda m: (
+            F.array_max(F.filter(heights, lambda h: h <= m))
+            + F.array_min(F.filter(heights, lambda h: h > m))
         )
+        / 2.0,
     )
+
+
+def _widest_stretch(xs: Column) -> Column:
+    """Middle of the widest of the stretches (1st, 2nd), (3rd, 4th), ...; the
+    leftmost of equally wide ones."""
     stretches = F.transform(
         F.sequence(F.lit(1), F.size(xs) - 1, F.lit(2)),
         lambda i: F.struct(
@@ -139,9 +144,43 @@ def interior_point(rings: Column) -> Column:
             (-(F.element_at(xs, i) + F.element_at(xs, i + 1)) / 2.0).alias("back"),
         ),
     )
-    return F.when(  # the leftmost of equally wide stretches
-        F.size(xs) >= 2,
-        F.struct((-F.array_max(stretches)["back"]).alias("x"), level.alias("y")),
+    return -F.array_max(stretches)["back"]
+
+
+def interior_point(rings: Column) -> Column:
+    """A point inside the shape: middle of the widest inside stretch of the
+    horizontal line halfway between the vertex heights around the box centre."""
+    sides = F.flatten(F.transform(rings, lambda r: _sides(r["points"])))
+
+    def crossings(all_sides: Column, level: Column) -> Column:
+        crossing = F.filter(
+            all_sides,
+            lambda s: (F.least(s["ay"], s["by"]) <= level)
+            & (F.greatest(s["ay"], s["by"]) > level),
+        )
+        return F.array_sort(
+            F.transform(
+                crossing,
+                lambda s: s["ax"]
+                + (level - s["ay"]) * (s["bx"] - s["ax"]) / (s["by"] - s["ay"]),
+            )
+        )
+
+    def at_level(all_sides: Column, level: Column) -> Column:
+        return _let(
+            crossings(all_sides, level),
+            lambda xs: F.when(
+                F.size(xs) >= 2,
+                F.struct(_widest_stretch(xs).alias("x"), level.alias("y")),
+            ),
+        )
+
+    return _let(
+        sides,
+        lambda all_sides: _let(
+            _scan_line(F.transform(all_sides, lambda s: s["ay"])),
+            lambda level: at_level(all_sides, level),
+        ),
     )
 
 
@@ -291,14 +330,10 @@ def _meet(fine: DataFrame, coarse: DataFrame, strict: bool) -> DataFrame:
     level L holds only coarse shapes about 2**L wide, however many tiny shapes
     of the other side crowd into it.
     """
-    levels = _levels(coarse)
-    allowed = (
-        (lambda lv: lv > F.col("level"))
-        if strict
-        else (lambda lv: lv >= F.col("level"))
-    )
+    lv = F.col("_lv")
+    allowed = lv > F.col("level") if strict else lv >= F.col("level")
     f = _covered(
-        fine.withColumn("_lv", F.explode(F.filter(levels, allowed))), F.col("_lv")
+        fine.withColumn("_lv", F.explode(_levels(coarse))).where(allowed), lv
     ).drop("_lv", "level")
     c = _covered(coarse, F.col("level")).drop("level")
     prefix = ("id", "xmin", "xmax", "ymin", "ymax")
