@@ -17,7 +17,7 @@ from arealytics.operators.keys import (
     first_row_id,
     use_id,
 )
-from arealytics.plans import dimensions, units
+from arealytics.plans import demography, dimensions, units
 from arealytics.session import pin
 from arealytics.specs import (
     CHEMICALS,
@@ -39,24 +39,25 @@ def use_keyed(t: Inputs) -> DataFrame:
     return use_fact(t).withColumn("use_id", use_id())
 
 
-def active_flags(t: Inputs) -> DataFrame:
+def active_flags(t: Inputs, fact: DataFrame | None = None) -> DataFrame:
     flags = dimensions.flag_restricted(t("chem_flags"), t("restricted"))
-    return keep_known(flags, "chem_code", use_fact(t), "chem_code")
+    fact = use_fact(t) if fact is None else fact
+    return keep_known(flags, "chem_code", fact, "chem_code")
 
 
-def categories(t: Inputs) -> DataFrame:
-    return dimensions.categories(active_flags(t))
+def categories(t: Inputs, fact: DataFrame | None = None) -> DataFrame:
+    return dimensions.categories(active_flags(t, fact))
 
 
 def enriched(t: Inputs) -> DataFrame:
-    # categories are a published table of their own: worked out once
-    return units.enrich(use_fact(t), pin(categories(t)))
+    # the cleaned fact and the categories are stored tables of their own: the
+    # unit tables, which read the fact several times, start from those
+    fact = pin(use_fact(t))
+    return units.enrich(fact, pin(categories(t, fact)))
 
 
 def with_demography(t: Inputs, fact: DataFrame) -> DataFrame:
-    from arealytics.plans.demography import guarded_demography
-
-    figures = guarded_demography(t("tract_survey"), "FIPS")
+    figures = demography.guarded_demography(t("tract_survey"), "FIPS")
     return units.fact_with_demography(fact, figures, "GEOID", "FIPS")
 
 
@@ -540,7 +541,7 @@ def _sql_compare(title: str, source: str, measures: list[str]) -> str:
         UNION ALL {_sql_compare("tract", "tract_totals", ["chm_ag", "prd_ag"])})""",
 )
 def _reconcile(t):
-    base = enriched(t)
+    base = pin(enriched(t))
     out = units.reconcile(
         base,
         {
@@ -552,3 +553,21 @@ def _reconcile(t):
     return rounded(out, {"base": 4, "derived": 4, "diff": 4})
 
 
+
+
+@query(
+    "monthly_use_by_tract",
+    """SELECT monthyear, "GEOID", round(sum(lbs_chm_used), 4) AS lbs_chm_used, round(sum(lbs_prd_used), 4) AS lbs_prd_used
+       FROM weighted_use WHERE "GEOID" IS NOT NULL GROUP BY ALL""",
+)
+def _monthly_use_by_tract(t):
+    weighted = weight(use_keyed(t), t("section_xwalk"), TRACT)
+    sums = (
+        weighted.where(F.col("GEOID").isNotNull())
+        .groupBy("monthyear", "GEOID")
+        .agg(
+            F.sum("lbs_chm_used").alias("lbs_chm_used"),
+            F.sum("lbs_prd_used").alias("lbs_prd_used"),
+        )
+    )
+    return rounded(sums, {"lbs_chm_used": 4, "lbs_prd_used": 4})

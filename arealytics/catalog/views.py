@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arealytics.sources.files import spread
 from arealytics.specs import (
     AIAN,
     ASIAN,
@@ -315,7 +316,7 @@ class Inputs:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         view = VIEWS[name]
-        df = self(view.source)
+        df = spread(self(view.source))
         if view.where:
             df = df.where(view.where)
         if view.expand:

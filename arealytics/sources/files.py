@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from arealytics.operators.joins import estimated_bytes
+
+_WORTH_SPREADING = 512 * 1024
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -23,3 +27,15 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
 
 def exists(spark: SparkSession, path: str) -> bool:
     return filesystem(spark, path).exists(hadoop_path(spark, path))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few unsplittable pieces (an archive, a file of one row
+    group) to all cores.  A scan that already has a piece per core, as any
+    large table does, is left alone and nothing is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) < _WORTH_SPREADING:
+        return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
