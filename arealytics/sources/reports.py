@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from arealytics.session import pin
 from arealytics.sources.files import matching
@@ -33,9 +33,12 @@ def read_use_reports(
     reader = spark.read.option("sep", "\t").option("header", True)
     if columns is not None:
         reader = reader.schema(text_schema(columns))
-    return reader.csv(path).withColumn(
-        "_file", F.element_at(F.split(F.input_file_name(), "/"), -1)
-    )
+    return reader.csv(path).withColumn("_file", file_name())
+
+
+def file_name() -> Column:
+    """Name of the file a row was read from, without its folder."""
+    return F.element_at(F.split(F.input_file_name(), "/"), -1)
 
 
 def read_zipped_reports(

@@ -11,7 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from arealytics.sources.reports import RAW_COLUMNS, text_schema
+from arealytics.operators.aggregates import assign_file_year
+from arealytics.operators.filters import drop_null
+from arealytics.sinks import write_year
+from arealytics.sources.reports import RAW_COLUMNS, file_name, text_schema
 
 
 def report_stream(
@@ -23,6 +26,7 @@ def report_stream(
         .option("sep", "\t")
         .option("header", True)
         .csv(folder)
+        .withColumn("_file", file_name())
     )
 
 
@@ -33,12 +37,19 @@ def ingest_new(
     checkpoint: str,
     columns: Sequence[str] = RAW_COLUMNS,
 ) -> StreamingQuery:
-    """Append the dated rows of new files to ``target``, partitioned by year."""
-    rows = report_stream(spark, folder, columns).where(F.col("DATE").isNotNull())
+    """Dated rows of new files into ``target``, one partition per file year.
+
+    A file is never split over batches, so its year is known within one.  A
+    batch replaces the years it holds, which makes a repeated batch harmless.
+    """
+
+    def store(batch: DataFrame, _number: int) -> None:
+        write_year(assign_file_year(batch, "_file").drop("_file"), target)
+
     return (
-        rows.writeStream.format("parquet")
-        .partitionBy("YEAR")
+        drop_null(report_stream(spark, folder, columns), "DATE")
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
