@@ -75,7 +75,9 @@ def _rings_array(values: Sequence[bytes | None]) -> pa.Array:
 def decode_wkb(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Replace a WKB column by ``rings``; Arrow batches, one pass."""
     keep = [c for c in df.columns if c != geometry]
-    schema = T.StructType([df.schema[c] for c in keep]).add("rings", RINGS_TYPE)
+    schema = T.StructType([df.schema[c] for c in keep]).add(
+        "rings", T.DataType.fromDDL(RINGS_TYPE)
+    )
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
