@@ -291,7 +291,7 @@ def _usage_by_county(t):
 
 @query(
     "usage_by_township",
-    f"""SELECT "MeridianTownshipRange", {_SQL_SUMS.replace("sum(", "sum(")} FROM use_keyed
+    f"""SELECT "MeridianTownshipRange", {_SQL_SUMS} FROM use_keyed
         WHERE usetype = 'AG' AND "MeridianTownshipRange" IS NOT NULL GROUP BY "MeridianTownshipRange" """,
 )
 def _usage_by_township(t):
@@ -315,10 +315,9 @@ def _option_list(t):
 
 @query(
     "quantile_bins",
-    """WITH shown AS (SELECT quantile_cont(lbs_chm_used, [0.2, 0.4, 0.6, 0.8]) AS q FROM tract_use WHERE lbs_chm_used <> 0)
-       SELECT "GEOID", lbs_chm_used, CASE WHEN lbs_chm_used IS NOT NULL AND lbs_chm_used <> 0 THEN
+    """SELECT "GEOID", lbs_chm_used, CASE WHEN lbs_chm_used IS NOT NULL AND lbs_chm_used <> 0 THEN
          CAST(1 + (lbs_chm_used >= q[1])::INT + (lbs_chm_used >= q[2])::INT + (lbs_chm_used >= q[3])::INT + (lbs_chm_used >= q[4])::INT AS INT) END AS bin
-       FROM tract_use, shown""",
+       FROM tract_use, (SELECT quantile_cont(lbs_chm_used, [0.2, 0.4, 0.6, 0.8]) AS q FROM tract_use WHERE lbs_chm_used <> 0)""",
 )
 def _quantile_bins(t):
     out = rounded(tract_use(t, {"start": "2016-01"}), _LBS)

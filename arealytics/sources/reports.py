@@ -61,12 +61,9 @@ def read_zipped_reports(
         member = name.rsplit("/", 1)[-1].removesuffix(".zip") + ".txt"
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             with archive.open(member) as text:
+                # all columns, so that a line of the wrong length is an error
                 yield from pd.read_csv(
-                    text,
-                    sep="\t",
-                    dtype=str,
-                    usecols=columns,
-                    chunksize=_CHUNK_ROWS,
+                    text, sep="\t", dtype=str, chunksize=_CHUNK_ROWS
                 )
 
     def unzip(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -36,4 +36,4 @@ def no_broadcast(spark):
 def rows(df, *columns):
     """Sorted row tuples; None sorts last."""
     picked = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
-    return sorted(picked, key=lambda r: [(v is None, str(type(v)), v or 0) for v in r])
+    return sorted(picked, key=lambda r: [(v is None, str(type(v)), 0 if v is None else v) for v in r])

@@ -40,7 +40,7 @@ def _plain(value):
 
 
 def _sorted(found):
-    return sorted(found, key=lambda r: [(v is None, str(type(v)), v or 0) for v in r])
+    return sorted(found, key=lambda r: [(v is None, str(type(v)), 0 if v is None else v) for v in r])
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
