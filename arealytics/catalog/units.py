@@ -144,13 +144,17 @@ def _use_stats(t):
 
 @query(
     "use_periods",
-    """SELECT site_code, list_sort(list(DISTINCT left(monthyear, 4))) AS years_used,
-         list_sort(list(DISTINCT monthyear)) AS months_used
+    """SELECT site_code, array_to_string(list_sort(list(DISTINCT left(monthyear, 4))), ' ') AS years_used,
+         array_to_string(list_sort(list(DISTINCT monthyear)), ' ') AS months_used
        FROM use_fact WHERE monthyear IS NOT NULL GROUP BY site_code""",
 )
 def _use_periods(t):
     stats = use_stats(use_fact(t), "site_code")
-    return stats.select("site_code", "years_used", "months_used")
+    return stats.select(
+        "site_code",
+        F.array_join("years_used", " ").alias("years_used"),
+        F.array_join("months_used", " ").alias("months_used"),
+    )
 
 
 def _dimension(t: Inputs, spec: DimensionSpec, view: str) -> DataFrame:

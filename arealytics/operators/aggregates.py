@@ -5,11 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from arealytics.functions.dates import year_of
 from arealytics.operators.joins import lookup_join
-from arealytics.operators.keys import positions
+from arealytics.operators.keys import in_ranges, with_offset
 
 
 def period_sums(fact: DataFrame, ids: Sequence[str], use: str) -> DataFrame:
@@ -99,26 +99,35 @@ def exact_quantiles(
 ) -> list[float]:
     """Linear-interpolated quantiles, one number per probability.
 
-    The values are ranked by range partitioning and only the two neighbours of
-    each cut leave the executors, so no task holds the whole column.
+    Values are counted first, so a value repeated without end is one row, and
+    the distinct values are ranked by range partitioning.  No task holds the
+    whole column, and one row of cut values leaves the executors.
     """
-    ranked = positions(
-        df.select(F.col(column).alias("_v")).where(F.col("_v").isNotNull()),
-        ["_v"],
-        "_place",
+    counts = (
+        df.select(F.col(column).alias("_v"))
+        .where(F.col("_v").isNotNull())
+        .groupBy("_v")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    last = ranked.agg(F.max("_place")).first()[0]
-    if last is None:
+    ranged = in_ranges(counts, ["_v"])
+    rows = ranged.agg(F.sum("_n")).first()[0]
+    if rows is None:
         return []
-    exact = [last * p for p in probabilities]
+    exact = [(rows - 1) * p for p in probabilities]
     wanted = sorted({f(x) for x in exact for f in (math.floor, math.ceil)})
-    found = {
-        row["_place"]: row["_v"]
-        for row in ranked.where(F.col("_place").isin(wanted)).collect()
-    }  # two rows per probability
+    within = Window.partitionBy("_part").orderBy("_place")  # one range at a time
+    upto = with_offset(ranged, F.sum("_n")).withColumn(
+        "_upto", F.col("_offset") + F.sum("_n").over(within)
+    )
+    found = upto.agg(
+        *[
+            F.min(F.when(F.col("_upto") > at, F.col("_v"))).alias(str(at))
+            for at in wanted
+        ]
+    ).first()
     cuts = []
     for x in exact:
-        low, high = found[math.floor(x)], found[math.ceil(x)]
+        low, high = found[str(math.floor(x))], found[str(math.ceil(x))]
         cuts.append(low + (high - low) * (x - math.floor(x)))
     return cuts
 

@@ -49,9 +49,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
     twice ``width``: both are bounded whatever the data holds.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    per_task = df.agg(
-        (F.count(F.lit(1)) / F.lit(width)).alias("_per_task")
-    ).scalar()
+    per_task = counts.agg((F.sum("_rows") / F.lit(width)).alias("_per_task")).scalar()
     return counts.where(F.col("_rows") > per_task).select(
         *keys, F.ceil(F.col("_rows") / per_task).cast("int").alias("_spread")
     )

@@ -30,46 +30,40 @@ def use_id() -> Column:
     )
 
 
-def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows in range partitions, each numbered inside its partition.  Pinned:
-    range bounds come from a sample and must not be drawn twice."""
-    return pin(
+def in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows sorted into range partitions, with ``_part`` and the 0-based place
+    ``_place`` inside it.
+
+    Rows must differ in ``order``, so that no value can fill a range alone.
+    Pinned: range bounds come from a sample and must not be drawn twice.
+    """
+    ranged = pin(
         df.repartitionByRange(shuffle_width(df), *order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
+    mask = (1 << _POSITION_BITS) - 1
+    return ranged.select(
+        *df.columns,
+        F.shiftright("_at", _POSITION_BITS).alias("_part"),
+        F.col("_at").bitwiseAND(F.lit(mask)).alias("_place"),
+    )
 
 
-def _numbered(ranged: DataFrame, name: str) -> DataFrame:
-    """Partition offset plus place in the partition."""
-    part = F.shiftright(F.col("_at"), _POSITION_BITS)
+def with_offset(ranged: DataFrame, size: Column) -> DataFrame:
+    """Add ``_offset``, the total ``size`` of all ranges before the row's own.
+    The running sum sees one row per range partition, never the data."""
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range partition: bounded by the shuffle width
     offsets = (
-        ranged.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        ranged.groupBy("_part")
+        .agg(size.alias("_size"))
         .select(
             "_part",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
+            F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
         )
     )
-    mask = (1 << _POSITION_BITS) - 1
-    return (
-        ranged.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + F.col("_at").bitwiseAND(F.lit(mask)))
-        .drop("_part", "_offset", "_at")
-    )
-
-
-def positions(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """0-based position of every row in the total order of ``order``.
-
-    Rows are range-partitioned and sorted inside their partition, so no task
-    sees more than its range; a partition's offset is the count of the rows
-    before it, from one row per partition.
-    """
-    return _numbered(_ranged(df, order), name)
+    # bounded by the shuffle width
+    return ranged.join(F.broadcast(offsets), "_part")
 
 
 def dense_index(
@@ -84,10 +78,13 @@ def dense_index(
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
-    ranged = _ranged(df.select(*keys).where(present).distinct(), keys)
+    ranged = in_ranges(df.select(*keys).where(present).distinct(), keys)
     after_last = ranged.agg(F.count(F.lit(1))).scalar()
+    numbered = with_offset(ranged, F.count(F.lit(1))).select(
+        *keys, (F.col("_offset") + F.col("_place")).alias(name)
+    )
     return (
-        lookup_join(df, _numbered(ranged, name), keys, "left", fits_broadcast(ranged))
+        lookup_join(df, numbered, keys, "left", fits_broadcast(ranged))
         .withColumn(name, F.coalesce(F.col(name), after_last))
         .drop(*keys)
     )

@@ -13,15 +13,11 @@ from arealytics.sources.files import exists, filesystem, hadoop_path
 def write_year(df: DataFrame, path: str, year: str = "YEAR") -> None:
     """One partition per report year; a rerun replaces only its own years.
 
-    Rows are spread by year and a content hash, so a large year is written by
-    several tasks and a small one by few.
+    The rebalance brings a year's rows together, cuts a large year into
+    several tasks and joins small ones, by measured size.
     """
-    spread = df.withColumn(
-        "_part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(16))
-    )
     (
-        spread.repartition(F.col(year), F.col("_part"))
-        .drop("_part")
+        df.hint("rebalance", F.col(year))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(year)
@@ -35,8 +31,19 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_fact(df: DataFrame, path: str, by: Sequence[str] = ("monthyear",)) -> None:
-    """Gzip parquet laid out by month, so that month filters skip files."""
-    write_table(df.repartitionByRange(*by).sortWithinPartitions(*by), path)
+    """Gzip parquet laid out by month, so that month filters skip files.
+
+    Ranges run over the month and then a content hash: a month with a large
+    part of the rows takes several ranges.
+    """
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    laid_out = df.withColumn("_content", content)
+    write_table(
+        laid_out.repartitionByRange(*by, "_content")
+        .sortWithinPartitions(*by)
+        .drop("_content"),
+        path,
+    )
 
 
 def write_plain(df: DataFrame, path: str) -> None:

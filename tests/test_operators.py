@@ -63,11 +63,18 @@ def test_dense_index(spark, skewed, small, request):
     assert rows(again, "v", "use_index") == rows(out, "v", "use_index")
 
 
-def test_positions_cover_ties(spark):
-    df = spark.createDataFrame([(i % 7,) for i in range(100)], "v int")
-    out = [tuple(r) for r in keys.positions(df, ["v"], "at").orderBy("at").collect()]
-    assert [at for _, at in out] == list(range(100))
-    assert [v for v, _ in out] == sorted(i % 7 for i in range(100))
+def test_ranges_are_in_order(spark):
+    df = spark.createDataFrame([(i * 37 % 100,) for i in range(100)], "v int")
+    ranged = keys.with_offset(keys.in_ranges(df, ["v"]), F.count(F.lit(1)))
+    out = ranged.select("v", F.col("_offset") + F.col("_place")).collect()
+    assert sorted(map(tuple, out)) == [(i, i) for i in range(100)]
+
+
+def test_quantiles_with_one_frequent_value(spark):
+    values = [float(v) for v in [3] * 400 + list(range(600))]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = aggregates.exact_quantiles(df, "v", [0.1, 0.35, 0.5, 0.999])
+    assert np.allclose(found, np.quantile(values, [0.1, 0.35, 0.5, 0.999]))
 
 
 def test_exact_quantiles(spark):
