@@ -311,10 +311,14 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            if name not in self._read:  # the schema is read from the file once
+                path = f"{self.folder}/{name}.parquet"
+                self._read[name] = self.spark.read.parquet(path)
+            return self._read[name]
         view = VIEWS[name]
         df = spread(self(view.source))
         if view.where:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,7 +11,19 @@ from arealytics.functions.numbers import coerce_numeric, percent_difference
 from arealytics.operators.crosswalk import apportion
 from arealytics.operators.joins import lookup_join, renamed_lookup
 from arealytics.operators.keys import dense_index, use_id
-from arealytics.specs import AG, COUNTY, UNIT_NUMBERS, Derive, UnitSpec
+from arealytics.session import pin
+from arealytics.specs import (
+    AG,
+    COUNTY,
+    SCHOOL,
+    SECTION,
+    TOWNSHIP,
+    TRACT,
+    UNIT_NUMBERS,
+    ZIP,
+    Derive,
+    UnitSpec,
+)
 
 __all__ = [
     "apply_derived",
@@ -22,6 +35,7 @@ __all__ = [
     "reconcile",
     "totals",
     "unit_fact",
+    "unit_tables",
 ]
 
 
@@ -66,6 +80,33 @@ def county_fact(
     return coerce_numeric(dense_index(joined, ["use_id"]), UNIT_NUMBERS)
 
 
+def unit_tables(
+    fact: DataFrame,
+    categories: DataFrame,
+    crosswalks: Mapping[str, DataFrame],
+    fips: DataFrame,
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The enriched fact and all unit tables derived from it.
+
+    ``crosswalks`` has one entry per area level (``tract``, ``school``,
+    ``zip``).  The enriched fact is written once and read by every level.
+    """
+    base = pin(enrich(fact, categories))
+    tables = {
+        spec.name: apportion(base, crosswalks[spec.name], spec)
+        for spec in (TRACT, SCHOOL, ZIP)
+        if spec.name in crosswalks
+    }
+    tables["county"] = county_fact(base, fips)
+    tables["township"] = unit_fact(base, TOWNSHIP)
+    tables["section"] = unit_fact(base, SECTION)
+    return base, tables
+
+
+# levels that hold farm use only, or are checked for it only
+AG_ONLY = frozenset({"tract", "school", "zip", "township"})
+
+
 def fact_with_demography(
     fact: DataFrame, demography: DataFrame, area_id: str, demography_id: str
 ) -> DataFrame:
@@ -140,7 +181,7 @@ def compare_totals(
 
 
 def reconcile(
-    base: DataFrame, derived: dict[str, DataFrame], ag_only: frozenset[str] = frozenset()
+    base: DataFrame, derived: Mapping[str, DataFrame], ag_only: frozenset[str] = frozenset()
 ) -> DataFrame:
     """Compare each unit table's pounds with the base fact's, as rows."""
     every = ["chm", "prd", "chm_ag", "prd_ag"]

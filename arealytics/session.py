@@ -16,14 +16,19 @@ from pyspark.sql import DataFrame, SparkSession
 # limit at that size a wide projection falls back to split, compiled methods
 # instead of running interpreted inside one large stage.
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+# What else a session of our own starts with.  Call-site capture on every
+# column costs more than building the plans.
+OWN_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -32,11 +37,9 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings above; ``conf`` uses ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
-    # call-site capture on every column costs more than building small plans
-    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master is not None:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **OWN_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -193,6 +193,21 @@ def test_unit_tables(spark, fact):
     assert {r["diff"] for r in checked.collect()} == {0.0}
 
 
+def test_all_unit_tables_reconcile(spark, fact):
+    categories = spark.createDataFrame([("253", "OP", "4", "")], "chem_code string, major_category string, ai_type string, health string")
+    fips = spark.createDataFrame([("10", "06019")], "DPR_ID string, FIPS string")
+    halves = [("10M10N02E12", "a", 0.5), ("10M10N02E12", "b", 0.5), ("10S01", "a", 1.0)]
+    walks = {
+        name: spark.createDataFrame(halves, f"CO_MTRS string, {area} string, AREA_RATIO double")
+        for name, area in [("tract", "GEOID"), ("school", "FIPS"), ("zip", "ZCTA5CE20")]
+    }
+    base, tables = units.unit_tables(fact, categories, walks, fips)
+    assert list(tables) == ["tract", "school", "zip", "county", "township", "section"]
+    checked = units.reconcile(base, tables, units.AG_ONLY).collect()
+    assert len(checked) == 4 * 2 + 2 * 4
+    assert {r["diff"] for r in checked if r["measure"].startswith("chm")} == {0.0}
+
+
 def test_categories(spark):
     flags = spark.createDataFrame(
         [(0, "1", None, "Y"), (1, "2", "ADJUVANT", "Y"), (2, "3", "REG", None), (3, "4", None, None)],
