@@ -53,7 +53,7 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; one of our own only in local mode."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -77,6 +77,6 @@ def pin(df: DataFrame) -> DataFrame:
     still works, and the optimizer knows the real size from then on.
     """
     spark = df.sparkSession
-    folder = f"{_shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
