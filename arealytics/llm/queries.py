@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arealytics.llm.mixing import MIX_SQL
+from arealytics.llm.warc import WARC_SQL
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -37,3 +40,26 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
         public_tokenizers.PATTERN,
     )
+
+
+@query("op3_url_rules")
+def url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from arealytics.llm.url_rules import filter_urls
+
+    return filter_urls(table(spark, folder, "pages"))
+
+
+@query("op6_mix_sources", MIX_SQL)
+def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    from arealytics.llm.mixing import mix
+
+    return mix(table(spark, folder, "documents"))
+
+
+@query("op7_warc_index", WARC_SQL)
+def warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    from arealytics.llm.warc import capture_histories
+
+    return capture_histories(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
