@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from arealytics.llm.mixing import MIX_SQL
+from arealytics.llm.topk import TOPK_SQL
 from arealytics.llm.warc import WARC_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +64,12 @@ def warc_index(spark: SparkSession, folder: str) -> DataFrame:
     return capture_histories(table(spark, folder, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op2_exact_top_k", TOPK_SQL)
+def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from arealytics.llm.topk import top_k
+
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
