@@ -73,3 +73,12 @@ def exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     from arealytics.llm.topk import top_k
 
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op9_hilbert_neighbours")
+def hilbert_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from arealytics.llm.curves import nearest
+
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
