@@ -82,3 +82,10 @@ def hilbert_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     from arealytics.llm.curves import nearest
 
     return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query("op8_ngram_join")
+def ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    from arealytics.llm.ngram_join import similar_documents
+
+    return similar_documents(table(spark, folder, "documents"))
