@@ -89,3 +89,34 @@ def ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     from arealytics.llm.ngram_join import similar_documents
 
     return similar_documents(table(spark, folder, "documents"))
+
+
+@query("op5_language_mixture")
+def language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    from arealytics.llm import language
+    from arealytics.llm.common import remainder
+
+    documents = table(spark, folder, "documents")
+    model = language.learn(documents, remainder("doc_id", 5) != 0)
+    return language.identify(documents, model).select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "shares"
+    )
+
+
+@query("op10_nnpu_toxicity")
+def nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from arealytics.llm import toxicity
+    from arealytics.llm.common import remainder
+
+    documents = table(spark, folder, "documents")
+    model = toxicity.learn(
+        documents, table(spark, folder, "labels"), lambda key: remainder(key, 3) != 1
+    )
+    return toxicity.score(documents, model).select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= toxicity.TOXIC_FROM, 1).otherwise(0).alias("predicted"),
+    )
