@@ -2,8 +2,8 @@
 
 Confirmed toxic texts are the positive sample, all training texts, whatever
 their label, the unlabelled one; the share of toxic rows among labelled rows is
-the class prior.  Features are hashed byte n-grams that are significantly more
-frequent among positive texts.  Several linear classifiers, each on its own part
+the class prior.  Features are hashed words that are significantly more
+frequent among positive texts, also against what the prior leaves for the rest.  Several linear classifiers, each on its own part
 of the sample, minimise the class-prior-corrected risk
 
     prior * loss(positive, 1) + max(0, loss(unlabelled, 0) - prior * loss(positive, 0))
@@ -27,21 +27,21 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from arealytics.llm.byte_grams import chunks, grams
+from arealytics.llm.byte_grams import chunks, whole_words
 from arealytics.llm.common import through_arrow
 from arealytics.session import pin
 
-NGRAM = 5
-BITS = 18
+BITS = 22
 POSITIVE_SAMPLE = 4000  # confirmed toxic texts learned from, about
 UNLABELLED_SAMPLE = 12000  # training texts learned from, about
 FEATURES = 8192
 MIN_Z = 5.0
+MIN_RATIO = 4.0  # of the rates among toxic and other texts
 CLASSIFIERS = 3
 PART = 0.8  # of the sample that one classifier sees
-STEPS = 300
-RATE = 0.05
-DECAY = 1e-4
+STEPS = 400
+RATE = 0.1
+DECAY = 1e-6
 SAMPLE_TASKS = 8
 TOXIC_FROM = 0.7
 
@@ -59,8 +59,8 @@ class Classifier:
 
 
 def feature_pairs(texts: list[bytes], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, bin) of n-grams that are features."""
-    rows, bins = grams(texts, NGRAM, BITS)
+    """Distinct (row, bin) of words that are features."""
+    rows, bins = whole_words(texts, BITS)
     told = features[bins]
     keys = np.unique((rows[told] << BITS) | bins[told])
     return keys >> BITS, keys & ((1 << BITS) - 1)
@@ -103,41 +103,40 @@ def _sample(documents, labels, trains, id_column, text_column, label_column):
     return pin(sample), min(0.9, max(1e-4, toxic / labelled))
 
 
-def _select(sample: DataFrame) -> np.ndarray:
+def _select(sample: DataFrame, prior: float) -> np.ndarray:
     """Bins that positive texts have significantly more often."""
 
     def count(arriving: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         found = np.zeros((2, 1 << BITS), np.int32)
-        texts_seen = np.zeros(2, np.int64)
         for batch in arriving:
             sides = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
             for first, texts in chunks(batch.column(3).to_pylist()):
-                rows, bins = grams(texts, NGRAM, BITS)
+                rows, bins = whole_words(texts, BITS)
                 keys = np.unique((rows << BITS) | bins)
                 rows, bins = keys >> BITS, keys & ((1 << BITS) - 1)
                 for side, marks in enumerate(sides):
                     there = marks[first : first + len(texts)]
-                    found[side] += np.bincount(bins[there[rows]], minlength=1 << BITS).astype(np.int32)
-                    texts_seen[side] += int(there.sum())
-        yield {
-            "positive": [found[0].tobytes()], "unlabelled": [found[1].tobytes()],
-            "p": texts_seen[:1], "u": texts_seen[1:],
-        }
-
-    # one row per task of the sample, SAMPLE_TASKS in all
-    parts = through_arrow(
-        sample, count, "positive binary, unlabelled binary, p long, u long"
-    ).collect()
-    sums = [
-        sum((np.frombuffer(r[s], np.int32).astype(np.int64) for r in parts), np.zeros(1 << BITS))
-        for s in ("positive", "unlabelled")
-    ]
-    many = [max(1, sum(r[s] for r in parts)) for s in ("p", "u")]
-    rates = [s / m for s, m in zip(sums, many)]
-    both = np.maximum((sums[0] + sums[1]) / sum(many), 1.0 / sum(many))
-    z = (rates[0] - rates[1]) / np.sqrt(both * (1 - both) * (1 / many[0] + 1 / many[1]) + 1e-12)
-    best = np.argsort(-z, kind="stable")[:FEATURES]
-    return np.sort(best[z[best] > MIN_Z])
+                    np.add.at(found[side], bins[there[rows]], 1)
+        some = np.flatnonzero(found.any(axis=0))
+        yield {"bin": some, "p": found[0][some], "u": found[1][some]}
+
+    counted = through_arrow(sample, count, "bin long, p int, u int").groupBy("bin").agg(
+        F.sum("p").alias("p"), F.sum("u").alias("u")
+    )
+    # no more rows than bins, and those of the positive sample only
+    table = counted.where("p > 0").toArrow()
+    n_p, n_u = (
+        max(1, n)
+        for n in sample.agg(F.count(F.when(F.col("positive"), 1)), F.count(F.when(F.col("unlabelled"), 1))).first()
+    )
+    bins, in_p, in_u = (table[c].to_numpy().astype(np.float64) for c in ("bin", "p", "u"))
+    rate_p, rate_u = in_p / n_p, in_u / n_u
+    both = np.clip((in_p + in_u) / (n_p + n_u), 1e-12, 1 - 1e-12)
+    z = (rate_p - rate_u) / np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
+    rate_n = np.maximum(0.0, (rate_u - prior * rate_p) / (1 - prior))
+    good = np.flatnonzero((z > MIN_Z) & (rate_p > MIN_RATIO * rate_n))
+    best = good[np.lexsort((bins[good], -z[good]))][:FEATURES]
+    return np.sort(bins[best].astype(np.int64))
 
 
 def fit_nnpu(
@@ -182,9 +181,9 @@ def learn(
     nothing = np.zeros(1 << BITS, bool)
     sample, prior = _sample(documents, labels, trains, id_column, text_column, label_column)
     if sample is None:
-        return Classifier(np.zeros(1 << BITS), nothing, -500.0)
-    chosen = _select(sample)
-    flat = Classifier(np.zeros(1 << BITS), nothing, float(np.log(prior / (1 - prior))))
+        return Classifier(np.zeros(1 << BITS, np.float32), nothing, -500.0)
+    chosen = _select(sample, prior)
+    flat = Classifier(np.zeros(1 << BITS, np.float32), nothing, float(np.log(prior / (1 - prior))))
     if not len(chosen):
         return flat
     told = nothing.copy()
@@ -224,7 +223,7 @@ def learn(
 
     # a bounded sample per classifier; CLASSIFIERS rows come back
     trained = members.groupBy("member").applyInPandas(train, "weights array<double>, bias double").collect()
-    weights = np.zeros(1 << BITS)
+    weights = np.zeros(1 << BITS, np.float32)
     weights[chosen] = np.mean([t["weights"] for t in trained], axis=0)
     return Classifier(weights, told, float(np.mean([t["bias"] for t in trained])))
 
