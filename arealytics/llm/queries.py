@@ -120,3 +120,23 @@ def nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= toxicity.TOXIC_FROM, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query("op4_pitman_yor")
+def pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from arealytics.llm.common import remainder
+    from arealytics.llm.pitman_yor import score_corpus
+
+    held_out = remainder("doc_id", 5) == 1
+    scored, model = score_corpus(table(spark, folder, "documents"), ~held_out)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
