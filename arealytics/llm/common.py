@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 #: Fixed value: a word is a run of anything but ASCII white space.  Python's
 #: ``bytes.split()`` cuts at exactly these characters.
@@ -27,10 +29,10 @@ def remainder(key: str, modulus: int) -> Column:
 def through_arrow(
     df: DataFrame,
     batches: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow`` for a function that yields columns as plain dicts."""
-    names, kinds = arrow_schema(df, schema)
+    names, kinds = arrow_schema(schema)
 
     def run(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in batches(arriving):
@@ -45,11 +47,8 @@ def through_arrow(
     return df.mapInArrow(run, schema)
 
 
-def arrow_schema(df: DataFrame, schema: str) -> tuple[list[str], list[pa.DataType]]:
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import StructType
-
-    fields = StructType.fromDDL(schema).fields
+def arrow_schema(schema: str | StructType) -> tuple[list[str], list[pa.DataType]]:
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
     return [f.name for f in fields], [to_arrow_type(f.dataType) for f in fields]
 
 

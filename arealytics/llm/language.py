@@ -26,7 +26,7 @@ NGRAM = 3
 BITS = 16
 SAMPLE_PER_LANGUAGE = 3000  # labelled texts learned from, about
 SMOOTHING = 0.5
-ROUNDS = 12
+ROUNDS = 40
 PENALTY = 6.0  # times the logarithm of the n-grams, for each language more
 OVERLAP = 3.0  # neighbouring n-grams share bytes; evidence counts once
 MIN_SHARE = 0.3
@@ -218,7 +218,6 @@ def in_known_language(
     ``min_share``; all columns are kept."""
     fields = [f.name for f in documents.schema.fields]
     packed = documents.select(F.struct(*[documents[f] for f in fields]).alias("row"))
-    schema = f"row {packed.schema['row'].dataType.simpleString()}"
     if model is None:
         return documents.where("false")
     shared = documents.sparkSession.sparkContext.broadcast(model)
@@ -237,4 +236,4 @@ def in_known_language(
                 keep = np.concatenate(scores) >= min_share
                 yield {"row": batch.column(0).filter(pa.array(keep))}
 
-    return through_arrow(candidates, batches, schema).select("row.*")
+    return through_arrow(candidates, batches, packed.schema).select("row.*")

@@ -255,7 +255,6 @@ def without_toxic(
     """The documents that score below ``toxic_from``; all columns are kept."""
     fields = [f.name for f in documents.schema.fields]
     packed = documents.select(F.struct(*[documents[f] for f in fields]).alias("row"))
-    schema = f"row {packed.schema['row'].dataType.simpleString()}"
     shared = documents.sparkSession.sparkContext.broadcast(model)
     at = fields.index(text_column)
 
@@ -267,4 +266,4 @@ def without_toxic(
                 clean = np.concatenate(found) < toxic_from
                 yield {"row": batch.column(0).filter(pa.array(clean))}
 
-    return through_arrow(packed, batches, schema).select("row.*")
+    return through_arrow(packed, batches, packed.schema).select("row.*")
