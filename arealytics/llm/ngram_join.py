@@ -335,14 +335,18 @@ def similar_documents(
             "digest",
             F.col("class_id").alias("copy_of"),
             F.coalesce("component", "class_id").alias("class_id"),
-            (F.coalesce("linked", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+            F.coalesce("linked", F.lit(0)).alias("linked"),
+            (F.col("size") - 1).alias("copies"),
         )
     )
+    # an id with several texts can name several classes at once: its links count once
+    by_name = F.collect_set(F.struct("copy_of", "linked"))
+    linked = F.aggregate(by_name, F.lit(0).cast("long"), lambda n, x: n + x["linked"])
     judged = (
-        signed.select("doc_id", "digest").join(of_class, "digest")
+        signed.select("doc_id", "digest").distinct().join(of_class, "digest")
         .groupBy("doc_id")
         .agg(F.min("copy_of").alias("copy_of"), F.min("class_id").alias("class_id"),
-             F.sum("n_links").alias("n_links"))
+             (linked + F.sum("copies")).alias("n_links"))
     )
     return rows.select("doc_id").join(judged, "doc_id", "left").select(
         "doc_id",
