@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from arealytics.llm.common import through_arrow
 
-_MEMO = 300_000  # entries of each memo; they only save time
+_MEMO = 200_000  # entries of each memo; they only save time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -287,8 +287,8 @@ def encode(
         encoder = texts.encoder
         names = {i: str(i) for i in encoder.vocabulary}
         for batch in arriving:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 counts, digests, decoded, all_ids = [], [], [], []
                 for ids in texts.encode_many([t or "" for t in part.column(1).to_pylist()]):
                     counts.append(len(ids))

@@ -11,7 +11,7 @@ _CLEAN = bytes(
     b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)
 )
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:

@@ -15,6 +15,12 @@ from pyspark.sql.types import StructType
 #: ``bytes.split()`` cuts at exactly these characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Texts can be long: what travels between Spark and Python at once is small.
+ARROW_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
+
 END_WORD = np.uint64(0x9E3779B97F4A7C15)  # stands for the end of a text
 BEGIN_WORD = np.uint64(0xC2B2AE3D27D4EB4F)  # the place before the first word
 ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -33,6 +39,8 @@ def through_arrow(
 ) -> DataFrame:
     """``mapInArrow`` for a function that yields columns as plain dicts."""
     names, kinds = arrow_schema(schema)
+    for setting, value in ARROW_SETTINGS.items():
+        df.sparkSession.conf.set(setting, value)
 
     def run(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in batches(arriving):
@@ -55,7 +63,7 @@ def arrow_schema(schema: str | StructType) -> tuple[list[str], list[pa.DataType]
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembering the commonest in bounded space."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

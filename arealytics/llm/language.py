@@ -26,7 +26,8 @@ NGRAM = 3
 BITS = 16
 SAMPLE_PER_LANGUAGE = 3000  # labelled texts learned from, about
 SMOOTHING = 0.5
-ROUNDS = 40
+ROUNDS = 12  # for all languages at once
+SET_ROUNDS = 40  # for a chosen set
 PENALTY = 6.0  # times the logarithm of the n-grams, for each language more
 OVERLAP = 3.0  # neighbouring n-grams share bytes; evidence counts once
 MIN_SHARE = 0.3
@@ -74,10 +75,12 @@ class Mixture:
 
     def _widen(self, chosen, model, counts, dense, one, size) -> None:
         """Replace single languages by the set of largest penalised likelihood.
-        The likelihood of all languages together bounds that of every set, so
-        only texts where it beats the penalty are looked at again."""
+        The likelihood of all languages together bounds that of every set; it is
+        concave, so its slope bounds what further rounds could add.  Only texts
+        where that bound beats the penalty are looked at again."""
         penalty = PENALTY * np.log(size + 1.0)
-        everything, full = _fit(model, counts, dense, np.ones_like(chosen))
+        everything, full, more = _fit(model, counts, dense, np.ones_like(chosen), ROUNDS)
+        full = full + more
         mixed = np.flatnonzero(full - one > penalty)
         if not len(mixed):
             return
@@ -89,9 +92,10 @@ class Mixture:
                 return
             allowed = np.zeros((len(mixed), chosen.shape[1]))
             np.put_along_axis(allowed, order[mixed, :kinds], 1.0, axis=1)
-            share, fit = _fit(
-                model[pick], counts[pick], np.searchsorted(mixed, dense[pick]), allowed
-            )
+            share, fit, _ = _fit(
+                model[pick], counts[pick], np.searchsorted(mixed, dense[pick]), allowed,
+                SET_ROUNDS,
+            )
             value = fit - penalty[mixed] * (kinds - 1)
             better = value > best[mixed]
             best[mixed[better]] = value[better]
@@ -99,17 +103,20 @@ class Mixture:
             mixed = mixed[better | (full[mixed] - penalty[mixed] * kinds > best[mixed])]
 
 
-def _fit(model, counts, rows, allowed) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions among the allowed languages, and the log-likelihood."""
+def _fit(model, counts, rows, allowed, rounds: int):
+    """Proportions among the allowed languages, the log-likelihood, and a bound
+    on what is missing to its maximum."""
     share = allowed / allowed.sum(axis=1, keepdims=True)
     starts = np.searchsorted(rows, np.arange(len(allowed)))
     size = np.add.reduceat(counts, starts)[:, None]
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         part = model * share[rows]
         part *= (counts / part.sum(axis=1))[:, None]
         share = np.add.reduceat(part, starts, axis=0) / size
-    fit = np.log((model * share[rows]).sum(axis=1)) * counts
-    return share, np.add.reduceat(fit, starts)
+    mixed = (model * share[rows]).sum(axis=1)
+    slope = np.add.reduceat(model * (counts / mixed)[:, None], starts, axis=0) - size
+    missing = np.maximum(0.0, np.where(allowed > 0, slope, -np.inf).max(axis=1))
+    return share, np.add.reduceat(np.log(mixed) * counts, starts), missing
 
 
 def learn(

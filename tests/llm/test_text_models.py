@@ -72,10 +72,11 @@ def test_mixture_fit_reaches_the_likelihood_of_brute_force():
     random_ = np.random.default_rng(4)
     model = random_.random((30, 2)).astype(np.float32)
     counts = random_.integers(1, 9, 30).astype(float)
-    share, fit = language._fit(model, counts, np.zeros(30, int), np.ones((1, 2)))
+    share, fit, missing = language._fit(model, counts, np.zeros(30, int), np.ones((1, 2)), 40)
     grid = max((np.log(model @ [p, 1 - p]) @ counts, p) for p in np.linspace(0.001, 0.999, 999))
     assert fit[0] <= grid[0] + 1e-6 and grid[0] - fit[0] < 0.5
     assert share.sum() == pytest.approx(1)
+    assert grid[0] <= fit[0] + missing[0]
 
 
 def test_toxicity(spark):
