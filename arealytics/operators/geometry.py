@@ -12,11 +12,17 @@ Parts of one shape must not overlap each other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from arealytics.operators.joins import fits_broadcast, lookup_join
+from arealytics.operators.joins import (
+    broadcast_limit,
+    estimated_bytes,
+    fits_broadcast,
+    lookup_join,
+)
 from arealytics.session import pin
 
 RINGS_TYPE = (
@@ -352,46 +358,97 @@ def _meet(fine: DataFrame, coarse: DataFrame, strict: bool) -> DataFrame:
         F.col("c_id").alias("c"),
         xlo.alias("xlo"),
         F.least("xmax", "c_xmax").alias("xhi"),
-    )
-
-
-def candidate_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``(a, b, xlo, xhi)`` for every pair of shapes whose boxes meet."""
-    boxes_a, boxes_b = pin(_boxes(a)), pin(_boxes(b))
-    up = _meet(boxes_a, boxes_b, strict=False)
-    down = _meet(boxes_b, boxes_a, strict=True)
-    return up.select(F.col("f").alias("a"), F.col("c").alias("b"), "xlo", "xhi").union(
-        down.select(F.col("c").alias("a"), F.col("f").alias("b"), "xlo", "xhi")
+        ylo.alias("ylo"),
     )
 
 
 # --------------------------------------------------------------------------
-# Slabs: upright strips of one common width that edges and pairs are cut into
+# Slabs: upright strips.  An edge lies in strips as wide as itself, so it never
+# has more than two, however wide the layer's other edges are; edges of unlike
+# width meet in the strips of the wider one.
 # --------------------------------------------------------------------------
 
+_SLAB_LEVELS = 16  # narrower edges than 2**-16 of the widest share a level
 
-def _typical_width(*layers: DataFrame) -> Column:
-    """The larger of the layers' median edge widths, a single number.
 
-    Slabs of that width hold a few edges of each shape, so the edge pairs of
-    two outlines grow with the length of the outlines, not with the product.
-    """
-    widths = [
-        layer.where(F.col("x1") > F.col("x0"))
-        .agg(F.approx_percentile(F.col("x1") - F.col("x0"), 0.5))
-        .scalar()
+def _width_levels(*layers: DataFrame) -> list[list[int]]:
+    """The slab levels each layer's edges use, at most _SLAB_LEVELS + 1 small
+    numbers a layer; the common top decides what counts as narrow."""
+    width = F.col("x1") - F.col("x0")
+    exact = [
+        layer.where(width > 0)
+        .agg(F.collect_set(F.ceil(F.log2(width)).cast("int")).alias("levels"))
+        .first()["levels"]
         for layer in layers
     ]
-    widest = F.greatest(*widths) if len(widths) > 1 else widths[0]
-    return F.coalesce(widest, F.lit(1.0))
+    top = max((x for found in exact for x in found), default=0)
+    low = max(_LOWEST, top - _SLAB_LEVELS)
+    return [sorted({max(x, low) for x in found} | {low}) for found in exact]
+
+
+def _slab_level(levels: list[int]) -> Column:
+    width = F.col("x1") - F.col("x0")
+    level = F.when(width > 0, F.ceil(F.log2(width))).otherwise(levels[0])
+    return F.greatest(level, F.lit(levels[0])).cast("int")
+
+
+def _in_slabs(edges: DataFrame) -> DataFrame:
+    """One row per slab of level ``lv`` that an edge touches."""
+    return edges.withColumn(
+        "slab",
+        F.explode(F.sequence(_cell(F.col("x0"), F.col("lv")), _cell(F.col("x1"), F.col("lv")))),
+    )
+
+
+def _at_wider(edges: DataFrame, levels: list[int], strict: bool) -> DataFrame:
+    """Edges in the slabs of those ``levels`` that are at least (``strict``:
+    above) their own."""
+    low = F.col("level") + (1 if strict else 0)
+    wider = F.filter(F.array(*map(F.lit, levels)), lambda x: x >= low)
+    return _in_slabs(edges.withColumn("lv", F.explode(wider)))
+
+
+def _at_own(edges: DataFrame) -> DataFrame:
+    return _in_slabs(edges.withColumn("lv", F.col("level")))
+
+
+def _room(layer: DataFrame, factor: int) -> bool:
+    """Whether a layer may be broadcast once each edge has ``factor`` rows."""
+    return estimated_bytes(layer) * factor <= broadcast_limit(layer)
 
 
-def _slabs(low: Column, high: Column, width: Column) -> Column:
-    return F.explode(
-        F.sequence(
-            F.floor(low / width).cast("long"), F.floor(high / width).cast("long")
+_EDGE = ("x0", "y0", "x1", "y1", "sign")
+_NOTHING = 1e-9  # share of the smaller shape below which an overlap is rounding
+
+
+def _edge_meetings(
+    pairs: DataFrame, fine: DataFrame, coarse: DataFrame, levels: list[list[int]]
+) -> DataFrame:
+    """The edge pairs of pairs (f, c, ylo), each once."""
+
+    def named(edges: DataFrame, side: str) -> DataFrame:
+        return edges.withColumnsRenamed({"id": side, **{c: f"{side}_{c}" for c in _EDGE}})
+
+    def leveled(edges: DataFrame, used: list[int]) -> DataFrame:
+        return edges.where("x0 <> x1").withColumn("level", _slab_level(used))
+
+    def meet(of_fine: DataFrame, of_coarse: DataFrame, factor: int) -> DataFrame:
+        f = lookup_join(pairs, named(of_fine, "f"), ["f"], "inner", _room(fine, 2 * factor))
+        c = named(of_coarse.drop("level"), "c")
+        return lookup_join(
+            f.drop("level"), c, ["c", "lv", "slab"], "inner", _room(coarse, 2 * factor)
         )
+
+    spread = max(map(len, levels))
+    f, c = leveled(fine, levels[0]), leveled(coarse, levels[1])
+    met = meet(_at_wider(f, levels[1], strict=False), _at_own(c), spread).unionByName(
+        meet(_at_own(f), _at_wider(c, levels[0], strict=True), spread)
     )
+    lo, hi = F.greatest("f_x0", "c_x0"), F.least("f_x1", "c_x1")
+    return met.where((lo < hi) & (_cell(lo, F.col("lv")) == F.col("slab"))).select(
+        "f", "c", "ylo", lo.alias("lo"), hi.alias("hi"),
+        *[f"{side}_{column}" for side in "fc" for column in _EDGE],
+    )
 
 
 def overlap_area(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -399,51 +456,35 @@ def overlap_area(a: DataFrame, b: DataFrame) -> DataFrame:
 
     For two indicators that are sums over edges the common area is the double
     sum of ``sign_i * sign_j * integral(min(y_i, y_j))`` over the common x
-    range, taken slab by slab.
+    range of two edges.  Heights count from the bottom of the common box, so
+    large coordinates lose no digits; an overlap below a billionth of the
+    smaller shape is rounding.
     """
-    width = F.lit(
-        a.sparkSession.range(1).select(_typical_width(a, b)).first()[0]
-    )  # one number
-    pairs = candidate_pairs(a, b).withColumn(
-        "slab", _slabs(F.col("xlo"), F.col("xhi"), width)
-    )
-
-    def cut(edges: DataFrame, side: str) -> DataFrame:
-        upright = F.col("x0") == F.col("x1")
-        return (
-            edges.where(~upright)
-            .withColumn("slab", _slabs(F.col("x0"), F.col("x1"), width))
-            .withColumnsRenamed(
-                {
-                    "id": side,
-                    **{c: f"{side}_{c}" for c in ("x0", "y0", "x1", "y1", "sign")},
-                }
-            )
+    levels = _width_levels(a, b)
+    boxes_a, boxes_b = pin(_boxes(a)), pin(_boxes(b))
+    up = pin(_meet(boxes_a, boxes_b, strict=False))
+    down = pin(_meet(boxes_b, boxes_a, strict=True))
+    met = (
+        _edge_meetings(up, a, b, levels)
+        .withColumnsRenamed({"f": "a", "c": "b"})
+        .unionByName(
+            _edge_meetings(down, b, a, levels[::-1]).withColumnsRenamed({"f": "b", "c": "a"})
         )
+    )
 
-    small_a, small_b = fits_broadcast(a), fits_broadcast(b)
-    if not (small_a and small_b):
-        pairs = pin(pairs)  # read more than once below
-    met = lookup_join(pairs, cut(a, "a"), ["a", "slab"], "inner", small_a)
-    met = lookup_join(met, cut(b, "b"), ["b", "slab"], "inner", small_b)
-
-    lo = F.greatest("a_x0", "b_x0", F.col("slab") * width)
-    hi = F.least("a_x1", "b_x1", (F.col("slab") + 1) * width)
-
-    def height(side: str, x: Column) -> Column:
-        x0, y0, x1, y1 = (F.col(f"{side}_{c}") for c in ("x0", "y0", "x1", "y1"))
-        return y0 + (y1 - y0) * (x - x0) / (x1 - x0)
+    def height(side: str, x: str) -> Column:
+        x0, y0, x1, y1 = (F.col(f"{side}_{c}") for c in _EDGE[:4])
+        return (y0 - F.col("ylo")) + (y1 - y0) * (F.col(x) - x0) / (x1 - x0)
 
-    met = met.withColumn("_lo", lo).withColumn("_hi", hi)
-    met = met.where(F.col("_lo") < F.col("_hi")).select(
+    met = met.select(
         "a",
         "b",
-        (F.col("a_sign") * F.col("b_sign")).alias("sign"),
-        (F.col("_hi") - F.col("_lo")).alias("w"),
-        height("a", F.col("_lo")).alias("a0"),
-        height("a", F.col("_hi")).alias("a1"),
-        height("b", F.col("_lo")).alias("b0"),
-        height("b", F.col("_hi")).alias("b1"),
+        (F.col("f_sign") * F.col("c_sign")).alias("sign"),
+        (F.col("hi") - F.col("lo")).alias("w"),
+        height("f", "lo").alias("a0"),
+        height("f", "hi").alias("a1"),
+        height("c", "lo").alias("b0"),
+        height("c", "hi").alias("b1"),
     )
     w, d0, d1 = F.col("w"), F.col("a0") - F.col("b0"), F.col("a1") - F.col("b1")
     gap = F.when(d0 * d1 >= 0, w * F.abs(d0 + d1) / 2.0).otherwise(
@@ -452,18 +493,19 @@ def overlap_area(a: DataFrame, b: DataFrame) -> DataFrame:
     lower = (
         w * (F.col("a0") + F.col("a1") + F.col("b0") + F.col("b1")) / 4.0 - gap / 2.0
     )
-    return (
-        met.groupBy("a", "b")
-        .agg(F.sum(F.col("sign") * lower).alias("area"))
-        .where(F.col("area") > 1e-9)
-    )
+    common = met.groupBy("a", "b").agg(F.sum(F.col("sign") * lower).alias("area"))
+    for side, layer in (("a", a), ("b", b)):
+        whole = pin(layer_area(layer)).withColumnsRenamed({"id": side, "area": f"_of_{side}"})
+        common = lookup_join(common, whole, [side], "inner")
+    least = F.least(F.abs("_of_a"), F.abs("_of_b"))
+    return common.where(F.col("area") > least * _NOTHING).select("a", "b", "area")
 
 
 def points_within(points: DataFrame, layer: DataFrame) -> DataFrame:
     """``(point, id)`` for every point strictly inside a shape of the layer.
 
     ``points`` has ``point, x, y`` with one row per point id.  Each point looks
-    up one cell per level in use, then only the edges in its own slab; a point
+    up one cell per level in use, then only the edges in its own slabs; a point
     on an edge is outside.
     """
     boxes = pin(_boxes(layer))
@@ -480,16 +522,13 @@ def points_within(points: DataFrame, layer: DataFrame) -> DataFrame:
         & F.col("y").between(F.col("ymin"), F.col("ymax"))
     )
 
-    width = F.lit(
-        layer.sparkSession.range(1).select(_typical_width(layer)).first()[0]
-    )  # one number
-    near = near.select(
-        "point", "x", "y", "id", F.floor(F.col("x") / width).cast("long").alias("slab")
+    levels = _width_levels(layer)[0]
+    cut = _at_own(layer.withColumn("level", _slab_level(levels))).drop("level")
+    used = F.array(*map(F.lit, levels))
+    near = near.select("point", "x", "y", "id", F.explode(used).alias("lv")).withColumn(
+        "slab", _cell(F.col("x"), F.col("lv"))
     )
-    if not small:
-        near = pin(near)  # read more than once below
-    cut = layer.withColumn("slab", _slabs(F.col("x0"), F.col("x1"), width))
-    met = lookup_join(near, cut, ["id", "slab"], "inner", small)
+    met = lookup_join(near, cut, ["id", "lv", "slab"], "inner", _room(layer, 2))
 
     x, y = F.col("x"), F.col("y")
     x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))

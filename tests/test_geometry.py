@@ -163,6 +163,36 @@ def test_touching_shapes_do_not_overlap(spark):
     assert rows(g.overlap_area(edges.where("id = 'l'"), edges.where("id = 'r'"))) == []
 
 
+def test_overlap_at_state_coordinates(spark):
+    """A jittered grid of one-mile cells meets only itself."""
+    made = random.Random(7)
+    cells = {}
+    for i in range(8):
+        for j in range(8):
+            x, y = 41_000.123 + 1609.344 * i, -214_000.456 + 1609.344 * j
+            corners = [(x, y), (x + 1609.344, y), (x + 1609.344, y + 1609.344), (x, y + 1609.344)]
+            cells[f"{i}{j}"] = shape((False, [(a + made.uniform(-1e-9, 1e-9), b + made.uniform(-1e-9, 1e-9)) for a, b in corners]))
+    edges = g.to_edges(frame(spark, cells), "id")
+    found = g.overlap_area(edges, edges).collect()
+    assert len(found) == 64 and all(r["a"] == r["b"] for r in found)
+    assert all(r["area"] == pytest.approx(1609.344**2, rel=1e-9) for r in found)
+
+
+@pytest.mark.parametrize("lean", [1e-3, 1e-9])
+def test_leaning_sides(spark, lean):
+    """Nearly upright sides neither multiply edges nor change results."""
+    cells = {
+        f"{i}{j}": shape((False, [(i, j), (i + 1, j), (i + 1 + lean, j + 1), (i + lean, j + 1)]))
+        for i in range(4) for j in range(4)
+    }
+    edges = g.to_edges(frame(spark, cells), "id")
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 2.5, 3.25), (3, 9.0, 9.0)], "point int, x double, y double")
+    assert rows(g.points_within(points, edges)) == [(1, "00"), (2, "23")]
+    found = {(r["a"], r["b"]): r["area"] for r in g.overlap_area(edges, edges).collect()}
+    assert {k: v for k, v in found.items() if v > 0.5} == pytest.approx({(k, k): 1.0 for k in cells})
+    assert len(found) == 16
+
+
 def test_dissolve_removes_shared_edges(spark):
     cells = {
         f"{i}{j}": shape((False, [(i, j), (i + 1, j), (i + 1, j + 1), (i, j + 1)]))
