@@ -69,7 +69,7 @@ _SQL_TOWNSHIP = (
     " 'T' || substr(comtrs, 4, 3) || ' R' || substr(comtrs, 7, 3) END"
 )
 _SQL_USE_ID = (
-    "monthyear || use_number || CAST(CAST(lbs_prd_used AS DECIMAL(18,4)) AS VARCHAR)"
+    "monthyear || coalesce(use_number, 'nan') || printf('%.14e', lbs_prd_used)"
     " || coalesce(comtrs, 'nan')"
 )
 
@@ -264,7 +264,7 @@ def _link_harvest(t):
     """SELECT DISTINCT name FROM (SELECT strftime(l_shipdate, 'use_%Y-%m.parquet') AS name FROM lineitem
          UNION ALL SELECT CASE WHEN l_linenumber > 0 THEN 'use_full.parquet' END FROM lineitem)
        WHERE name = 'use_full.parquet' OR name NOT IN (
-         SELECT strftime(o_orderdate, 'use_%Y-%m.parquet') FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 50 = 0)""",
+         SELECT strftime(o_orderdate, 'use_%Y-%m.parquet') FROM orders GROUP BY 1 HAVING count(*) % 2 = 0)""",
 )
 def _pending_files(t):
     def named(day):
@@ -274,8 +274,9 @@ def _pending_files(t):
     full = t("lineitem").select(F.lit("use_full.parquet").alias("name"))
     present = (
         t("orders")
-        .where("o_orderpriority = '1-URGENT' AND o_orderkey % 50 = 0")
-        .select(named("o_orderdate").alias("name"))
+        .groupBy(named("o_orderdate").alias("name"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where("rows % 2 = 0")
     )
     return pending_files(months.union(full), present, "use_full.parquet")
 

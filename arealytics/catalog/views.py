@@ -247,14 +247,14 @@ VIEWS: dict[str, View] = {
         {"county_cd": text("c_custkey"), "NAME": "c_name", "ALAND": text("c_custkey * 3"), "AWATER": text("c_custkey % 13")},
         where="c_custkey % 2 = 0",
     ),
-    "elementary": View("customer", _DISTRICT, where="c_mktsegment = 'BUILDING'"),
-    "unified": View("customer", _DISTRICT, where="c_mktsegment = 'HOUSEHOLD'"),
+    "elementary": View("customer", _DISTRICT, where="c_mktsegment IN ('BUILDING', 'AUTOMOBILE', 'FURNITURE')"),
+    "unified": View("customer", _DISTRICT, where="c_mktsegment IN ('HOUSEHOLD', 'MACHINERY')"),
     "school_geo": View(
         "customer",
         {"FIPS": f"'06' || {pad('c_custkey', 5)}", "ALAND": "c_custkey * 5", "AWATER": "c_custkey % 3"},
-        where="c_mktsegment = 'BUILDING'",
+        where="c_custkey % 9 <> 4",  # a lookup with gaps
     ),
-    "zip_survey": View("customer", {"GEOID": pad("c_custkey % 700", 5)} | _LONG, where="c_custkey < 900"),
+    "zip_survey": View("customer", {"GEOID": pad("c_custkey % 700", 5)} | _LONG),
     "zip_geo": View(
         "customer",
         {"ZCTA5CE20": pad("c_custkey", 5), "ALAND20": "c_custkey * 7", "AWATER20": "c_custkey % 5"},

@@ -15,15 +15,15 @@ NO_FILTER = "*"
 CHOICES = {
     "ai_class": "major_category",
     "ai_type": "ai_type",
-    "ai_type_specific": "ai_type_specific",
+    "ai_type_specific": "ai_type",
     "site": "site_code",
     "usetype": "usetype",
     "chemical": "chem_code",
     "product": "prodno",
     "county": "county_cd",
     "townshiprange": "MeridianTownshipRange",
-    "schooldistrict": "school_id",
-    "tract": "tract_id",
+    "schooldistrict": "GEOID",
+    "tract": "FIPS",
 }
 
 # parameter -> column it bounds from below

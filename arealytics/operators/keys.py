@@ -17,15 +17,17 @@ _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
 def use_id() -> Column:
-    """Key of one application; null when month or number is missing.
+    """Key of one application; null when the month or the pounds are missing.
 
-    Pounds enter with four decimals so that the text does not depend on how an
-    engine prints doubles; a missing section enters as 'nan'.
+    Pounds enter with all fifteen digits that a double holds whatever its size,
+    in a form that does not depend on how an engine prints doubles; a missing
+    number or section enters as 'nan'.
     """
+    pounds = F.col("lbs_prd_used").cast("double")
     return F.concat(
         F.col("monthyear"),
-        F.col("use_number"),
-        F.col("lbs_prd_used").cast("decimal(18,4)").cast("string"),
+        F.coalesce(F.col("use_number"), F.lit("nan")),
+        F.when(pounds.isNotNull(), F.format_string("%.14e", pounds)),
         F.coalesce(F.col("comtrs"), F.lit("nan")),
     )
 

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from arealytics.sources.files import exists, filesystem, hadoop_path
 
 
-def write_year(df: DataFrame, path: str, year: str = "YEAR") -> None:
-    """One partition per report year; a rerun replaces only its own years.
+def write_year(df: DataFrame, path: str, year: str = "YEAR", *within: str) -> None:
+    """One partition per report year and value of ``within``; a rerun replaces
+    only its own partitions.
 
     The rebalance brings a year's rows together, cuts a large year into
     several tasks and joins small ones, by measured size.
@@ -20,7 +21,7 @@ def write_year(df: DataFrame, path: str, year: str = "YEAR") -> None:
         df.hint("rebalance", F.col(year))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(year)
+        .partitionBy(year, *within)
         .parquet(path)
     )
 

@@ -17,6 +17,12 @@ from arealytics.specs import REPORT_COLUMNS
 RAW_COLUMNS = ["YEAR", *REPORT_COLUMNS]
 _CHUNK_ROWS = 100_000
 
+#: Words that stand for a missing value, in both readers.
+NULL_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -33,12 +39,23 @@ def read_use_reports(
     reader = spark.read.option("sep", "\t").option("header", True)
     if columns is not None:
         reader = reader.schema(text_schema(columns))
-    return reader.csv(path).withColumn("_file", file_name())
+    return _with_nulls(reader.csv(path)).withColumn("_file", file_path())
+
+
+def file_path() -> Column:
+    """Full path of the file a row was read from; folders of different years
+    may hold files of the same name."""
+    return F.input_file_name()
 
 
-def file_name() -> Column:
-    """Name of the file a row was read from, without its folder."""
-    return F.element_at(F.split(F.input_file_name(), "/"), -1)
+def _with_nulls(df: DataFrame) -> DataFrame:
+    """The words for a missing value as nulls, in every column."""
+    return df.select(
+        *[
+            F.when(~F.col(f"`{c}`").isin(*NULL_WORDS), F.col(f"`{c}`")).alias(c)
+            for c in df.columns
+        ]
+    )
 
 
 def read_zipped_reports(
@@ -63,8 +80,9 @@ def read_zipped_reports(
             with archive.open(member) as text:
                 # all columns, so that a line of the wrong length is an error
                 yield from pd.read_csv(
-                    text, sep="\t", dtype=str, chunksize=_CHUNK_ROWS
-                )
+                    text, sep="\t", dtype=str, chunksize=_CHUNK_ROWS,
+                    keep_default_na=False, na_values=list(NULL_WORDS),
+                )
 
     def unzip(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -72,10 +90,10 @@ def read_zipped_reports(
                 try:
                     for chunk in chunks(name, content):
                         chunk = chunk[columns]
-                        yield chunk.assign(_file=name.rsplit("/", 1)[-1], _error=None)
+                        yield chunk.assign(_file=name, _error=None)
                 except Exception as problem:  # recorded, see ``failures``
                     row = {c: None for c in columns}
-                    row |= {"_file": name.rsplit("/", 1)[-1], "_error": repr(problem)}
+                    row |= {"_file": name, "_error": repr(problem)}
                     yield pd.DataFrame([row], columns=schema.names)
 
     archives = (

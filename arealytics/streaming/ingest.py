@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from arealytics.operators.aggregates import assign_file_year
 from arealytics.operators.filters import drop_null
 from arealytics.sinks import write_year
-from arealytics.sources.reports import RAW_COLUMNS, file_name, text_schema
+from arealytics.sources.reports import RAW_COLUMNS, file_path, text_schema
 
 
 def report_stream(
@@ -26,7 +26,7 @@ def report_stream(
         .option("sep", "\t")
         .option("header", True)
         .csv(folder)
-        .withColumn("_file", file_name())
+        .withColumn("_file", file_path())
     )
 
 
@@ -37,14 +37,16 @@ def ingest_new(
     checkpoint: str,
     columns: Sequence[str] = RAW_COLUMNS,
 ) -> StreamingQuery:
-    """Dated rows of new files into ``target``, one partition per file year.
+    """Dated rows of new files into ``target``, one partition per file year and
+    file.
 
     A file is never split over batches, so its year is known within one.  A
-    batch replaces the years it holds, which makes a repeated batch harmless.
+    batch replaces the files it holds, which makes a repeated batch harmless and
+    keeps what other files brought to the same year.
     """
 
     def store(batch: DataFrame, _number: int) -> None:
-        write_year(assign_file_year(batch, "_file").drop("_file"), target)
+        write_year(assign_file_year(batch, "_file"), target, "YEAR", "_file")
 
     return (
         drop_null(report_stream(spark, folder, columns), "DATE")

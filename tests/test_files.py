@@ -10,6 +10,7 @@ from arealytics.operators import geometry
 from arealytics.plans import clean, demography, dimensions, older, units
 from arealytics.sources import reports, tables
 from arealytics.specs import CHEMICALS, COUNTY, RESTRICTED, SECTION, TOWNSHIP
+from arealytics.operators.aggregates import assign_file_year
 from arealytics.streaming.ingest import ingest_new
 
 COLUMNS = reports.RAW_COLUMNS
@@ -32,9 +33,27 @@ def test_plain_reports(spark, tmp_path):
     (tmp_path / "a.txt").write_text(report({}, {"DATE": None}))
     for columns in (COLUMNS, None):
         df = reports.read_use_reports(spark, str(tmp_path / "a.txt"), columns)
-        assert rows(df, "DATE", "CHEMICAL_CODE", "_file") == [
-            ("05-MAR-21", "253.0", "a.txt"), (None, "253.0", "a.txt"),
-        ]
+        assert rows(df, "DATE", "CHEMICAL_CODE") == [("05-MAR-21", "253.0"), (None, "253.0")]
+        assert all(r["_file"].endswith("/a.txt") for r in df.collect())
+
+
+def test_files_of_one_name_in_two_folders(spark, tmp_path):
+    for year in ("2001", "2002"):
+        (tmp_path / f"pur{year}").mkdir()
+        (tmp_path / f"pur{year}" / "udc01.txt").write_text(report({"YEAR": year}, {"YEAR": year}))
+    df = reports.read_use_reports(spark, str(tmp_path) + "/pur*/udc01.txt", COLUMNS)
+    assigned = assign_file_year(df, "_file")
+    assert rows(assigned.groupBy("YEAR").count()) == [(2001, 2), (2002, 2)]
+
+
+def test_both_readers_know_the_same_nulls(spark, tmp_path):
+    body = report({"SITE_CODE": "NA"}, {"SITE_CODE": "null"}, {"SITE_CODE": "12"})
+    (tmp_path / "y.txt").write_text(body)
+    with zipfile.ZipFile(tmp_path / "y.zip", "w") as archive:
+        archive.writestr("y.txt", body)
+    plain = reports.read_use_reports(spark, str(tmp_path / "y.txt"), COLUMNS)
+    zipped, _ = reports.read_zipped_reports(spark, str(tmp_path), COLUMNS)
+    assert rows(plain, "SITE_CODE") == rows(zipped, "SITE_CODE") == [("12",), (None,), (None,)]
 
 
 def test_zipped_reports_quarantine(spark, tmp_path):
@@ -45,8 +64,10 @@ def test_zipped_reports_quarantine(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "late.zip", "w") as archive:
         archive.writestr("late.txt", report({}, {}) + "x" + "\ty" * 40 + "\n")
     found, failures = reports.read_zipped_reports(spark, str(tmp_path))
-    assert rows(found.groupBy("_file").count()) == [("y1.zip", 2), ("y2.zip", 1)]
-    assert [r["_file"] for r in failures.orderBy("_file").collect()] == ["broken.zip", "late.zip"]
+    counts = rows(found.groupBy("_file").count())
+    assert [(f.rpartition("/")[2], n) for f, n in counts] == [("y1.zip", 2), ("y2.zip", 1)]
+    failed = [r["_file"].rpartition("/")[2] for r in failures.orderBy("_file").collect()]
+    assert failed == ["broken.zip", "late.zip"]
 
 
 def test_yearly_tables(spark, tmp_path):
@@ -147,6 +168,10 @@ def test_incremental_ingest(spark, tmp_path):
     (inbox / "b.txt").write_text(report({"YEAR": "2020"}))
     ingest_new(spark, str(inbox), target, state).awaitTermination()
     assert rows(spark.read.parquet(target).groupBy("YEAR").count()) == [(2020, 1), (2021, 3)]
+    # another file of a year that is there already
+    (inbox / "c.txt").write_text(report({}, {}))
+    ingest_new(spark, str(inbox), target, state).awaitTermination()
+    assert rows(spark.read.parquet(target).groupBy("YEAR").count()) == [(2020, 1), (2021, 5)]
 
 
 @pytest.fixture(scope="module")
