@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from arealytics.functions.dates import year_of
 from arealytics.operators.joins import lookup_join
 from arealytics.operators.keys import in_ranges, with_offset
+from arealytics.session import pin
 
 
 def period_sums(fact: DataFrame, ids: Sequence[str], use: str) -> DataFrame:
@@ -76,7 +77,7 @@ def file_year(df: DataFrame, file: str, year: str = "YEAR") -> DataFrame:
 
 def assign_file_year(df: DataFrame, file: str, year: str = "YEAR") -> DataFrame:
     """Set the file's year on all of its rows; a file without one is an error."""
-    found = file_year(df, file, year)
+    found = pin(file_year(df, file, year))  # a row per file, by its real size
     joined = lookup_join(df.drop(year), found, [file], "left")
     return joined.withColumn(
         year,

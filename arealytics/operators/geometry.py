@@ -237,6 +237,20 @@ def layer_area(edges: DataFrame) -> DataFrame:
     )
 
 
+def _once_each(edges: DataFrame, keys: DataFrame, part: str, key: str) -> DataFrame:
+    """``keys`` without parts whose outline the key has already.  Outlines are
+    compared by sums of edge hashes, so no outline is gathered."""
+    content = F.xxhash64("x0", "y0", "x1", "y1", "sign")
+    outlines = edges.groupBy(F.col("id").alias(part)).agg(
+        F.bit_xor(content).alias("_xor"),
+        F.count(F.lit(1)).alias("_edges"),
+        F.min("x0").alias("_x"),
+        F.min("y0").alias("_y"),
+    )
+    named = keys.select(part, key).distinct().join(outlines, part)
+    return named.groupBy(key, "_xor", "_edges", "_x", "_y").agg(F.min(part).alias(part))
+
+
 def dissolve_edges(edges: DataFrame, keys: DataFrame, part: str, key: str) -> DataFrame:
     """Merge parts that share a key into one shape, as an edge table.
 
@@ -244,7 +258,11 @@ def dissolve_edges(edges: DataFrame, keys: DataFrame, part: str, key: str) -> Da
     two neighbours have opposite signs and vanish, so a merged shape is only
     its outline however many parts it has, and no row ever holds a whole group.
     Upright shared edges pass twice and vanish by count.
+
+    A part that a key lists again, under its own id or another, counts once.
+    Parts that otherwise overlap along an edge are an error.
     """
+    keys = _once_each(edges, keys, part, key)
     named = lookup_join(
         edges.withColumnRenamed("id", part), keys.select(part, key), [part], "inner"
     ).where(F.col(key).isNotNull())
@@ -260,6 +278,13 @@ def dissolve_edges(edges: DataFrame, keys: DataFrame, part: str, key: str) -> Da
         F.sum("sign").cast("int").alias("sign"),
         F.count(F.lit(1)).alias("_times"),
     )
+    overlap = F.concat(F.lit("parts overlap under "), F.col("id").cast("string"))
+    merged = merged.withColumn(
+        "sign",
+        F.when(F.abs("sign") > 1, F.raise_error(overlap).cast("int")).otherwise(
+            F.col("sign")
+        ),
+    )
     return merged.where(
         (F.col("sign") != 0)
         | ((F.col("x0") == F.col("x1")) & (F.col("_times") % 2 == 1))

@@ -11,6 +11,7 @@ from arealytics.functions.numbers import clean_code, clean_numeric
 from arealytics.functions.text import township_range
 from arealytics.operators.geometry import dissolve_edges, points_within
 from arealytics.operators.joins import lookup_join
+from arealytics.session import pin
 from arealytics.specs import CODE_BLANKS, CODES, MEASURE_BLANKS, MEASURES, REPORT_COLUMNS
 
 
@@ -47,7 +48,8 @@ def attach_meridian(df: DataFrame, meridians: DataFrame) -> DataFrame:
     A section in two meridian areas would repeat its rows, as an equi-merge
     does.
     """
-    sections = meridians.select(F.col("CO_MTRS").alias("comtrs"), "Meridian")
+    # stored, so that the join is chosen by its real size
+    sections = pin(meridians.select(F.col("CO_MTRS").alias("comtrs"), "Meridian"))
     return (
         lookup_join(df, sections, ["comtrs"], "left")
         .withColumn(

@@ -55,9 +55,15 @@ def _labeled(codes: DataFrame, stats: DataFrame, spec: DimensionSpec) -> DataFra
 def dimension(
     fact: DataFrame, codes: DataFrame, spec: DimensionSpec, active_only: bool = True
 ) -> DataFrame:
-    """One code table with its use statistics, sorted by name."""
+    """One code table with its use statistics, sorted by name.
+
+    The inner join with the statistics keeps only ids in use, so the fact is
+    read once whatever ``active_only`` says.
+    """
     return _labeled(
-        code_table(codes, fact, spec, active_only), use_stats(fact, spec.fact_id), spec
+        code_table(codes, fact, spec, active_only=False),
+        use_stats(fact, spec.fact_id),
+        spec,
     )
 
 

@@ -45,7 +45,8 @@ def enrich(fact: DataFrame, categories: DataFrame) -> DataFrame:
     Categories are deduplicated first, so a row matches at most one.
     """
     keyed = fact.withColumn("use_id", use_id()).drop("use_number")
-    return lookup_join(keyed, categories.distinct(), ["chem_code"], "left")
+    known = pin(categories.distinct())  # the join is chosen by its real size
+    return lookup_join(keyed, known, ["chem_code"], "left")
 
 
 def _usetypes(fact: DataFrame, spec: UnitSpec, apply_usetype: bool) -> DataFrame:

@@ -281,3 +281,19 @@ def test_geojson_collection(spark, tmp_path):
     out = read_geojson(spark, str(path), ["name"])
     areas = dict(out.select("name", g.ring_area(F.col("rings"))).collect())
     assert areas == {"p": 2.0, "m": 1.0}
+
+
+def test_dissolve_counts_a_repeated_part_once(spark):
+    parts = {"a": shape((False, SQUARE)), "again": shape((False, SQUARE)), "next": shape((False, [(2, 0), (4, 0), (4, 2), (2, 2)]))}
+    edges = g.to_edges(frame(spark, parts), "id")
+    keys = spark.createDataFrame([(k, "all") for k in [*parts, "a"]], "part string, zone string")
+    merged = g.dissolve_edges(edges, keys, "part", "zone")
+    assert dict(g.layer_area(merged).collect()) == {"all": 8.0}
+
+
+def test_dissolve_rejects_overlapping_parts(spark):
+    parts = {"a": shape((False, SQUARE)), "b": shape((False, [(0, 0), (2, 0), (2, 1), (0, 1)]))}
+    keys = spark.createDataFrame([(k, "all") for k in parts], "part string, zone string")
+    merged = g.dissolve_edges(g.to_edges(frame(spark, parts), "id"), keys, "part", "zone")
+    with pytest.raises(Exception, match="parts overlap"):
+        merged.collect()
