@@ -23,6 +23,7 @@ from arealytics.specs import (
     OVER_25,
     POPULATION,
     POPULATION_TOTALS,
+    SCHOOL,
     SHORT_NAMES,
     TRACT,
 )
@@ -304,6 +305,47 @@ def _usage_by_township(t):
     )
 
 
+@query(
+    "usage_by_school",
+    f"""SELECT "FIPS", lbs_chm_used, lbs_prd_used FROM (SELECT DISTINCT "FIPS" FROM section_xwalk)
+        LEFT JOIN (SELECT "FIPS", {_SQL_SUMS} FROM (
+            SELECT "FIPS", monthyear, lbs_chm_used * "AREA_RATIO" AS lbs_chm_used, lbs_prd_used * "AREA_RATIO" AS lbs_prd_used
+            FROM use_keyed u JOIN section_xwalk ON comtrs = "CO_MTRS" WHERE u.usetype = 'AG')
+          WHERE monthyear >= '2017-01' AND "FIPS" NOT IN ('00007') GROUP BY "FIPS") USING ("FIPS")""",
+)
+def _usage_by_school(t):
+    fact = weight(use_keyed(t), t("section_xwalk"), SCHOOL).where("FIPS <> '00007'")
+    areas = t("section_xwalk").select("FIPS").distinct()
+    return rounded(use_by_area(fact, areas, "FIPS", {"start": "2017-01"}), _LBS)
+
+
+@query(
+    "usage_filtered_school",
+    """SELECT use_id, monthyear, "FIPS", round(lbs_chm_used * "AREA_RATIO", 6) AS lbs_chm_used
+       FROM use_keyed u JOIN section_xwalk ON comtrs = "CO_MTRS"
+       WHERE u.usetype = 'AG' AND "FIPS" IN ('00011', '00014') AND monthyear >= '2017-01'""",
+)
+def _usage_filtered_school(t):
+    fact = weight(use_keyed(t), t("section_xwalk"), SCHOOL)
+    wanted = {"schooldistrict": ["00011", "00014"], "start": "2017-01", "tract": "*"}
+    out = usage_filter(fact, wanted).select("use_id", "monthyear", "FIPS", "lbs_chm_used")
+    return rounded(out, {"lbs_chm_used": 6})
+
+
+@query(
+    "usage_filtered_tract",
+    """SELECT use_id, monthyear, "GEOID", round(lbs_chm_used, 6) AS lbs_chm_used FROM weighted_use
+       WHERE "GEOID" IN (SELECT max("GEOID") FROM section_xwalk)""",
+)
+def _usage_filtered_tract(t):
+    fact = weight(use_keyed(t), t("section_xwalk"), TRACT)
+    chosen = t("section_xwalk").agg(F.max("GEOID")).first()[0]  # one code
+    out = usage_filter(fact, {"tract": [chosen]}).select(
+        "use_id", "monthyear", "GEOID", "lbs_chm_used"
+    )
+    return rounded(out, {"lbs_chm_used": 6})
+
+
 @query(
     "option_list",
     """SELECT DISTINCT chem_code AS value, chemname AS label FROM chemical

@@ -161,10 +161,23 @@ def _polygon_centroid(t):
     return rounded(out, {"x": 7, "y": 7})
 
 
-@query("interior_point")
+@query(
+    "interior_point",
+    """SELECT id, round(x, 7) AS x, round(y, 7) AS y FROM (
+         SELECT *, row_number() OVER (PARTITION BY id ORDER BY w DESC, x) AS rank FROM (
+           SELECT id, y, n, lead(x) OVER crossing - x AS w, (x + lead(x) OVER crossing) / 2e0 AS x FROM (
+             SELECT id, y, x, row_number() OVER (PARTITION BY id ORDER BY x) AS n FROM (
+               SELECT s.id, y, ax + (y - ay) * (bx - ax) / (by_ - ay) AS x FROM tract_side s JOIN (
+                 SELECT v.id, (max(CASE WHEN ay <= middle THEN ay END) + min(CASE WHEN ay > middle THEN ay END)) / 2e0 AS y
+                 FROM tract_side v JOIN (SELECT id, (min(ay) + max(ay)) / 2e0 AS middle FROM tract_side GROUP BY id) m ON m.id = v.id
+                 GROUP BY v.id) l ON l.id = s.id
+               WHERE least(ay, by_) <= y AND greatest(ay, by_) > y))
+           WINDOW crossing AS (PARTITION BY id ORDER BY n)) WHERE n % 2 = 1) WHERE rank = 1""",
+)
 def _interior_point(t):
     point = geometry.interior_point(F.col("rings"))
-    return shapes(t, "tract").select("id", point["x"].alias("x"), point["y"].alias("y"))
+    out = shapes(t, "tract").select("id", point["x"].alias("x"), point["y"].alias("y"))
+    return rounded(out, {"x": 7, "y": 7})
 
 
 _BLOCK = (

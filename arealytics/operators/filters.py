@@ -22,8 +22,8 @@ CHOICES = {
     "product": "prodno",
     "county": "county_cd",
     "townshiprange": "MeridianTownshipRange",
-    "schooldistrict": "GEOID",
-    "tract": "FIPS",
+    "schooldistrict": "FIPS",
+    "tract": "GEOID",
 }
 
 # parameter -> column it bounds from below

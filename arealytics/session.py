@@ -77,6 +77,17 @@ def pin(df: DataFrame) -> DataFrame:
     still works, and the optimizer knows the real size from then on.
     """
     spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    folder = f"{_stored(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def _stored(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
+def drop_pinned(spark: SparkSession) -> None:
+    """Delete what this application has pinned; for the end of a job, when its
+    results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stored(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

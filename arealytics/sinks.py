@@ -132,8 +132,9 @@ def pending_files(listing: DataFrame, present: DataFrame, always: str) -> DataFr
 def publish(df: DataFrame, path: str, backup: str) -> None:
     """Write beside ``path``, move the present version to ``backup``, swap.
 
-    A failing backup is reported and does not stop the publication.  Until the
-    swap the old version stays readable.
+    A failing backup is reported and does not stop the publication.  The old
+    version is deleted only after the new one is in its place, and put back
+    where that fails.
     """
     spark = df.sparkSession
     staging = path.rstrip("/") + ".staging"
@@ -149,9 +150,17 @@ def publish(df: DataFrame, path: str, backup: str) -> None:
 def _replace(spark: SparkSession, source: str, target: str) -> None:
     fs = filesystem(spark, target)
     to = hadoop_path(spark, target)
+    aside = hadoop_path(spark, target.rstrip("/") + ".old")
     if fs.exists(to):
-        fs.delete(to, True)
+        if fs.exists(aside):
+            fs.delete(aside, True)
+        if not fs.rename(to, aside):
+            raise OSError(f"cannot move {target} aside")
     if to.getParent() is not None:
         fs.mkdirs(to.getParent())
     if not fs.rename(hadoop_path(spark, source), to):
+        if fs.exists(aside):
+            fs.rename(aside, to)
         raise OSError(f"cannot move {source} to {target}")
+    if fs.exists(aside):
+        fs.delete(aside, True)

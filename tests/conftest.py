@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from arealytics.session import build_session  # noqa: E402
+from arealytics.session import build_session, drop_pinned  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,6 +20,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_pinned(session)
     session.stop()
 
 
