@@ -135,13 +135,19 @@ def test_first_rows(spark):
 
 def test_use_id(spark):
     df = spark.createDataFrame(
-        [("2020-01", "7", 1e7, None), (None, "7", 1.0, "s"), ("2020-01", "7", 0.5, "s")],
+        [
+            ("2020-01", "7", 1e7, None), (None, "7", 1.0, "s"), ("2020-01", "7", 0.5, "s"),
+            ("2020-01", None, 0.5, "s"), ("2020-01", "7", 1e-5, "s"), ("2020-01", "7", 4e-5, "s"),
+        ],
         "monthyear string, use_number string, lbs_prd_used double, comtrs string",
     )
     assert [r[0] for r in df.select(keys.use_id()).collect()] == [
-        "2020-01710000000.0000nan",
+        "2020-0171.00000000000000e+07nan",
         None,
-        "2020-0170.5000s",
+        "2020-0175.00000000000000e-01s",
+        "2020-01nan5.00000000000000e-01s",
+        "2020-0171.00000000000000e-05s",
+        "2020-0174.00000000000000e-05s",
     ]
 
 
