@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from arealytics.catalog.registry import NAMED, query, rounded
 from arealytics.catalog.units import enriched, use_keyed
 from arealytics.catalog.views import Inputs
+from arealytics.functions.text import township_range
 from arealytics.operators.aggregates import option_list, quantile_bins
 from arealytics.operators.crosswalk import weight
 from arealytics.operators.filters import use_by_area, use_over_time, usage_filter
@@ -290,19 +291,29 @@ def _usage_by_county(t):
     return rounded(out.drop("county_cd"), _LBS)
 
 
+def section_townships(t: Inputs) -> DataFrame:
+    township = F.concat(F.col("Meridian"), F.lit(" "), township_range(F.col("CO_MTRS")))
+    return t("section_meridian").select(
+        F.col("CO_MTRS").alias("comtrs"), township.alias("MeridianTownshipRange")
+    )
+
+
+def townships(t: Inputs) -> DataFrame:
+    """The townships of all sections, with or without use."""
+    areas = section_townships(t).select("MeridianTownshipRange").distinct()
+    return areas.where(F.col("MeridianTownshipRange").isNotNull())
+
+
 @query(
     "usage_by_township",
     f"""SELECT "MeridianTownshipRange", {_SQL_SUMS} FROM use_keyed
         WHERE usetype = 'AG' AND "MeridianTownshipRange" IS NOT NULL GROUP BY "MeridianTownshipRange" """,
 )
 def _usage_by_township(t):
-    fact = use_keyed(t)
-    areas = fact.select("MeridianTownshipRange").where(
-        F.col("MeridianTownshipRange").isNotNull() & (F.col("usetype") == "AG")
-    ).distinct()
-    return rounded(
-        use_by_area(fact, areas, "MeridianTownshipRange", {"usetype": "AG"}), _LBS
+    out = use_by_area(
+        use_keyed(t), townships(t), "MeridianTownshipRange", {"usetype": "AG"}
     )
+    return rounded(out, _LBS)
 
 
 @query(
