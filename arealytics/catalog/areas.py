@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from arealytics.catalog.registry import NAMED, query, rounded
+from arealytics.catalog.cleaning import _SQL_TOWNSHIP
+from arealytics.catalog.registry import NAMED, SQL, query, rounded
 from arealytics.catalog.units import enriched, use_keyed
 from arealytics.catalog.views import Inputs
 from arealytics.functions.text import township_range
@@ -105,6 +106,22 @@ NAMED["section_figures"] = _sql_standard("section_income", "comtrs")
 NAMED["section_table"] = (
     'SELECT f.*, a."ALAND" FROM section_figures f JOIN section_area a USING (comtrs)'
 )
+NAMED["section_townships"] = (
+    f"""SELECT DISTINCT comtrs, "Meridian" || ' ' || ({_SQL_TOWNSHIP}) AS "MeridianTownshipRange" """
+    'FROM (SELECT "CO_MTRS" AS comtrs, "Meridian" FROM section_meridian) WHERE "MeridianTownshipRange" IS NOT NULL'
+)
+NAMED["township_sums"] = (
+    _sql_shared(COUNTS).replace('"CO_MTRS" AS comtrs', '"MeridianTownshipRange"')
+    + ' JOIN section_townships ON comtrs = "CO_MTRS" GROUP BY "MeridianTownshipRange"'
+)
+NAMED["township_income"] = (
+    f'SELECT * EXCLUDE ("{INCOME}"), "{INCOME}" / nullif(w, 0) AS "{INCOME}" FROM township_sums'
+)
+NAMED["township_figures"] = _sql_standard("township_income", "MeridianTownshipRange")
+NAMED["township_table"] = (
+    'SELECT f.*, "ALAND" FROM township_figures f JOIN (SELECT "MeridianTownshipRange", sum("ALAND") AS "ALAND"'
+    ' FROM section_townships LEFT JOIN section_area USING (comtrs) GROUP BY ALL) USING ("MeridianTownshipRange")'
+)
 NAMED["older_sums"] = _sql_shared(OLDER_COUNTS) + ' GROUP BY "CO_MTRS"'
 
 
@@ -128,6 +145,37 @@ def section_table(t: Inputs) -> DataFrame:
     )
 
 
+def section_townships(t: Inputs) -> DataFrame:
+    """The township of each section; sections without one are left out."""
+    township = F.concat(F.col("Meridian"), F.lit(" "), township_range(F.col("CO_MTRS")))
+    sections = t("section_meridian").select(
+        F.col("CO_MTRS").alias("comtrs"), township.alias("MeridianTownshipRange")
+    )
+    return sections.where(F.col("MeridianTownshipRange").isNotNull()).distinct()
+
+
+def school_table(t: Inputs) -> DataFrame:
+    return demography.school_demography(t("elementary"), t("school_geo"))
+
+
+def zip_table(t: Inputs) -> DataFrame:
+    return demography.zip_demography(t("zip_survey"), t("zip_geo"))
+
+
+def township_table(t: Inputs) -> DataFrame:
+    """A township is its sections: their shares of tracts and their areas."""
+    sections = section_townships(t)
+    areas = (
+        sections.join(t("section_area"), "comtrs", "left")
+        .groupBy("MeridianTownshipRange")
+        .agg(F.sum("ALAND").alias("ALAND"))
+    )
+    crosswalk = t("section_xwalk").withColumnRenamed("CO_MTRS", "comtrs")
+    return demography.area_demography(
+        areas, crosswalk.join(sections, "comtrs"), t("tract_survey"), "MeridianTownshipRange"
+    )
+
+
 @query("demography_pct", "SELECT * FROM tract_table")
 def _demography_pct(t):
     return tract_table(t)
@@ -148,7 +196,7 @@ def _positional_key(t):
     'SELECT DISTINCT f.*, "ALAND", "AWATER" FROM school_figures f JOIN school_geo USING ("FIPS")',
 )
 def _demography_geo(t):
-    return demography.school_demography(t("elementary"), t("school_geo"))
+    return school_table(t)
 
 
 @query(
@@ -157,7 +205,7 @@ def _demography_geo(t):
        FROM zip_figures f JOIN zip_geo ON "GEOID" = "ZCTA5CE20" """,
 )
 def _zip_demography(t):
-    return demography.zip_demography(t("zip_survey"), t("zip_geo"))
+    return zip_table(t)
 
 
 @query("area_weighted_demography", "SELECT * FROM section_table")
@@ -202,6 +250,32 @@ def _population_reconcile(t):
     )
 
 
+@query("township_demography", "SELECT * FROM township_table")
+def _township_demography(t):
+    return township_table(t)
+
+
+NAMED["school_table"] = SQL["demography_geo"]
+NAMED["zip_table"] = SQL["zip_demography"]
+
+
+@query(
+    "population_reconcile_every_level",
+    f"""SELECT title, measure, CAST(b AS DOUBLE) AS base, CAST(d AS DOUBLE) AS derived, CAST(b - d AS DOUBLE) AS diff,
+          round_even(CAST(b - d AS DOUBLE) / nullif(b, 0), 4) * 100e0 AS pct FROM (
+        {" UNION ALL ".join(_sql_populations(x, f"{x}_table") for x in ("county", "school", "zip", "section", "township"))})""",
+)
+def _population_reconcile_every_level(t):
+    others = {
+        "county": county_table(t),
+        "school": school_table(t),
+        "zip": zip_table(t),
+        "section": section_table(t),
+        "township": township_table(t),
+    }
+    return demography.population_reconcile(tract_table(t), others)
+
+
 # --------------------------------------------------------------------------
 # Dashboard
 # --------------------------------------------------------------------------
@@ -291,17 +365,9 @@ def _usage_by_county(t):
     return rounded(out.drop("county_cd"), _LBS)
 
 
-def section_townships(t: Inputs) -> DataFrame:
-    township = F.concat(F.col("Meridian"), F.lit(" "), township_range(F.col("CO_MTRS")))
-    return t("section_meridian").select(
-        F.col("CO_MTRS").alias("comtrs"), township.alias("MeridianTownshipRange")
-    )
-
-
 def townships(t: Inputs) -> DataFrame:
     """The townships of all sections, with or without use."""
-    areas = section_townships(t).select("MeridianTownshipRange").distinct()
-    return areas.where(F.col("MeridianTownshipRange").isNotNull())
+    return section_townships(t).select("MeridianTownshipRange").distinct()
 
 
 @query(

@@ -557,6 +557,49 @@ def _reconcile(t):
     return rounded(out, {"base": 4, "derived": 4, "diff": 4})
 
 
+def _sql_area_pairs(area: str) -> str:
+    return f"""SELECT u.usetype, CASE WHEN use_id IS NULL OR "{area}" IS NULL THEN '' ELSE use_id || "{area}" END AS use_area,
+      lbs_chm_used * "AREA_RATIO" AS lbs_chm_used, lbs_prd_used * "AREA_RATIO" AS lbs_prd_used
+      FROM use_keyed u LEFT JOIN section_xwalk ON comtrs = "CO_MTRS" WHERE u.usetype = 'AG'"""
+
+
+NAMED["school_pairs"] = _sql_area_pairs(SCHOOL.area_id)
+NAMED["zip_pairs"] = _sql_area_pairs(ZIP.area_id)
+NAMED["school_totals"] = _sql_totals("school_pairs", "use_area")
+NAMED["zip_totals"] = _sql_totals("zip_pairs", "use_area")
+NAMED["county_rows"] = (
+    'SELECT i.*, x."FIPS" FROM indexed_use i LEFT JOIN county_xwalk x ON county_cd = "DPR_ID"'
+)
+NAMED["county_totals"] = _sql_totals("county_rows", "use_index")
+NAMED["unit_totals"] = _sql_totals("indexed_use", "use_index")
+
+_EVERY = ["chm", "prd", "chm_ag", "prd_ag"]
+_SQL_LEVELS = " UNION ALL ".join(
+    _sql_compare(title, source, _EVERY[2:] if title in units.AG_ONLY else _EVERY)
+    for title, source in [
+        ("tract", "tract_totals"),
+        ("school", "school_totals"),
+        ("zip", "zip_totals"),
+        ("county", "county_totals"),
+        ("township", "unit_totals"),
+        ("section", "unit_totals"),
+    ]
+)
+
+
+@query(
+    "reconcile_every_level",
+    f"""SELECT title, measure, round(b, 4) AS base, round(d, 4) AS derived, round(b - d, 4) AS diff,
+          round_even((b - d) / nullif(b, 0), 4) * 100e0 AS pct FROM ({_SQL_LEVELS})""",
+)
+def _reconcile_every_level(t):
+    crosswalks = dict.fromkeys(["tract", "school", "zip"], t("section_xwalk"))
+    fact = pin(use_fact(t))
+    base, tables = units.unit_tables(
+        fact, pin(categories(t, fact)), crosswalks, t("county_xwalk")
+    )
+    out = units.reconcile(base, tables, units.AG_ONLY)
+    return rounded(out, {"base": 4, "derived": 4, "diff": 4})
 
 
 @query(

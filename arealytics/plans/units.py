@@ -184,16 +184,21 @@ def compare_totals(
 def reconcile(
     base: DataFrame, derived: Mapping[str, DataFrame], ag_only: frozenset[str] = frozenset()
 ) -> DataFrame:
-    """Compare each unit table's pounds with the base fact's, as rows."""
+    """Compare each unit table's pounds with the base fact's, as rows.
+
+    Every level is summed in a job of its own and its one row stored: together
+    they would be a plan too large for a small driver, with the base in it once
+    per level.
+    """
     every = ["chm", "prd", "chm_ag", "prd_ag"]
     frames = {
         title: (
-            totals(df, "use_index"),
+            pin(totals(df, "use_index")),
             every[2:] if title in ag_only else every,
         )
         for title, df in derived.items()
     }
-    return compare_totals(totals(base, "use_id"), frames)
+    return compare_totals(pin(totals(base, "use_id")), frames)
 
 
 def apply_derived(df: DataFrame, columns: dict[str, Derive]) -> DataFrame:

@@ -26,3 +26,11 @@ def test_townships_without_use_are_listed(spark):
     every = {f"{r.Meridian} T{r.CO_MTRS[3:6]} R{r.CO_MTRS[6:9]}" for r in sections}
     assert sorted(r.MeridianTownshipRange for r in found) == sorted(every)
     assert sum(r.lbs_chm_used is not None for r in found) <= 1 < len(every)
+
+
+def test_checks_compare_every_level(spark):
+    t = Inputs(spark, FOLDER)
+    found = {r.title for r in QUERIES["reconcile_every_level"](t).collect()}
+    assert found == {"tract", "school", "zip", "county", "township", "section"}
+    found = {r.title for r in QUERIES["population_reconcile_every_level"](t).collect()}
+    assert found == {"county", "school", "zip", "section", "township"}
