@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arealytics.llm.merkle import MERKLE_SQL
 from arealytics.llm.mixing import MIX_SQL
 from arealytics.llm.topk import TOPK_SQL
 from arealytics.llm.warc import WARC_SQL
@@ -140,3 +141,11 @@ def pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from arealytics.llm.common import remainder
+    from arealytics.llm.merkle import manifest
+
+    return manifest(table(spark, folder, "documents"), remainder("doc_id", 2) == 0)
