@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arealytics.llm.bitsliced import SEARCH_SQL
 from arealytics.llm.merkle import MERKLE_SQL
 from arealytics.llm.mixing import MIX_SQL
 from arealytics.llm.topk import TOPK_SQL
@@ -149,3 +150,10 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     from arealytics.llm.merkle import manifest
 
     return manifest(table(spark, folder, "documents"), remainder("doc_id", 2) == 0)
+
+
+@query("op12_bitsliced_search", SEARCH_SQL)
+def bitsliced_search(spark: SparkSession, folder: str) -> DataFrame:
+    from arealytics.llm.bitsliced import search
+
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("candidates")
