@@ -157,3 +157,21 @@ def bitsliced_search(spark: SparkSession, folder: str) -> DataFrame:
     from arealytics.llm.bitsliced import search
 
     return search(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("candidates")
+
+
+@query("op11_quadratic_quality")
+def quadratic_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from arealytics.llm import quality
+    from arealytics.llm.common import remainder
+    from arealytics.session import pin
+
+    described = pin(quality.describe(table(spark, folder, "documents")))
+    model = quality.learn(described, table(spark, folder, "labels"), lambda key: remainder(key, 4) != 2)
+    return quality.score(described, model).select(
+        "doc_id",
+        (remainder("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= quality.GOOD_FROM, 1).otherwise(0).alias("predicted"),
+    )

@@ -61,7 +61,7 @@ def test_equal_to_scoring_every_document(spark):
     documents, draw = corpus(700)
     documents += [(9000, None), (9001, ""), (9002, "--- !!"), (9003, "Rare words: W3-w4_w5"), (9004, "w1 " * 5000)]
     items = [(i, " ".join(draw.sample(draw.choice(documents)[1].split(), 1)) + f" w{i} W250 nowhere w1 w1") for i in range(6)
-             if True] + [(50, "rare WORDS"), (51, None), (52, "..."), (53, "unheard of")]
+             ] + [(50, "rare WORDS"), (51, None), (52, "..."), (53, "unheard of")]
     found = check(spark, documents, items, at_once=4)
     # most documents are left out without being scored
     assert all(r.candidates < len(documents) / 2 for r in found if r.item_id == 50)
