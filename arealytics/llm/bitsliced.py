@@ -54,6 +54,7 @@ _TERM_BYTES = bytes(
     b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256)
 )
 SCALE = 1_000_000_000
+_NO_ID = np.iinfo(np.int64).max  # after all ids
 
 
 def terms(text: str | None) -> list[bytes]:
@@ -72,10 +73,10 @@ def gain(tf, m):
 # ---- signatures ------------------------------------------------------------
 
 
-def positions(hashes: np.ndarray, levels: np.ndarray, bits: int) -> np.ndarray:
-    """The HASHES signature positions of (term, level) pairs."""
+def positions(hashes: np.ndarray, level: int, bits: int) -> np.ndarray:
+    """The HASHES signature positions of terms on a level."""
     with np.errstate(over="ignore"):
-        value = mix(hashes + levels.astype(np.uint64) * ODD)
+        value = mix(hashes + np.uint64(level) * ODD)
         first, step = value & np.uint64(0xFFFFFFFF), value >> np.uint64(32) | np.uint64(1)
         steps = np.arange(HASHES, dtype=np.uint64)
         return ((first[:, None] + steps * step[:, None]) & np.uint64(bits - 1)).astype(np.int64)
@@ -91,9 +92,8 @@ class _Block:
 
     bits: int
     ids: list = field(default_factory=list)
-    n: list = field(default_factory=list)
-    most: list = field(default_factory=list)
-    places: list = field(default_factory=list)
+    hashes: list = field(default_factory=list)  # of the terms of a document
+    tf: list = field(default_factory=list)
 
     def full(self) -> bool:
         return len(self.ids) >= max(1, min(BLOCK_DOCUMENTS, BLOCK_BITS // self.bits))
@@ -102,14 +102,19 @@ class _Block:
         """One packed row; a slice is a run of bytes of equal length."""
         width = -(-len(self.ids) // 8) * 8
         cells = np.zeros(self.bits * width, np.uint8)
-        for row, places in enumerate(self.places):
-            cells[places * width + row] = 1
+        sizes = [len(tf) for tf in self.tf]
+        hashes, tf = np.concatenate(self.hashes), np.concatenate(self.tf)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        starts = np.cumsum([0, *sizes[:-1]])
+        n, most = np.add.reduceat(tf, starts), np.maximum.reduceat(tf, starts)
+        for level in range(int(most.max()).bit_length()):
+            some = tf >= 1 << level
+            hashes, tf, row = hashes[some], tf[some], row[some]
+            cells[positions(hashes, level, self.bits) * width + row[:, None]] = 1
         return {
-            "bits": [self.bits], "ids": [self.ids],
-            "n": [np.array(self.n, np.int64).tobytes()],
-            "most": [np.array(self.most, np.int64).tobytes()],
+            "bits": [self.bits], "ids": [self.ids], "n": [n.tobytes()], "most": [most.tobytes()],
             "slices": [np.packbits(cells).tobytes()],
-            "documents": [len(self.ids)], "tokens": [int(sum(self.n))], "df": [None],
+            "documents": [len(self.ids)], "tokens": [int(n.sum())], "df": [None],
         }
 
 
@@ -138,20 +143,11 @@ def _scan(rows: DataFrame, vocabulary: list[bytes], sign: bool) -> DataFrame:
                 df[[place[t] for t in counts.keys() & asked]] += 1
                 if not sign:
                     continue
-                hashed = hashes.of(list(counts))
-                tf = np.fromiter(counts.values(), np.int64, len(counts))
-                most = int(tf.max())
-                levels = np.floor(np.log2(tf)).astype(np.int64)
-                entries = len(tf) + int(levels.sum())
-                block = blocks.setdefault(signature_bits(entries), _Block(signature_bits(entries)))
-                places = [
-                    positions(hashed[levels >= l], np.full((levels >= l).sum(), l), block.bits).ravel()
-                    for l in range(most.bit_length())
-                ]
+                bits = signature_bits(sum(map(int.bit_length, counts.values())))
+                block = blocks.get(bits) or blocks.setdefault(bits, _Block(bits))
                 block.ids.append(doc_id)
-                block.n.append(int(tf.sum()))
-                block.most.append(most)
-                block.places.append(np.unique(np.concatenate(places)).astype(np.int32))
+                block.hashes.append(hashes.of(list(counts)))
+                block.tf.append(np.fromiter(counts.values(), np.int64, len(counts)))
                 if block.full():
                     yield blocks.pop(block.bits).sliced()
         for block in blocks.values():
@@ -199,7 +195,8 @@ class Items:
     weight: np.ndarray | None = None  # of entries, repeats included
     documents: int = 0
     tokens: int = 0
-    floor: np.ndarray | None = None
+    floor: np.ndarray | None = None  # score of the k-th known document
+    last: np.ndarray | None = None  # its id: an equal score counts up to here
 
     @staticmethod
     def of(rows: list[tuple]) -> Items:
@@ -218,7 +215,7 @@ class Items:
         item, term, times = self.item[held], self.term[held], self.times[held]
         return Items(
             self.ids, self.vocabulary, item, term, times, times * weight[term], documents, tokens,
-            np.zeros(len(self.ids), np.int64),
+            np.zeros(len(self.ids), np.int64), np.full(len(self.ids), _NO_ID),
         )
 
 
@@ -257,7 +254,7 @@ class Bounds:
         rows = np.arange(len(self.used))
         present, before = None, 0
         for level in range(int(most.max()).bit_length()):
-            at = positions(self.hashes[rows], np.full(len(rows), level), row["bits"])
+            at = positions(self.hashes[rows], level, row["bits"])
             held = np.bitwise_and.reduce(slices[at], axis=1)
             if present is not None:
                 held &= present
@@ -318,17 +315,20 @@ def _largest_bounds(index: DataFrame, items: Items, k: int) -> DataFrame:
 
 
 def _not_excluded(index: DataFrame, items: Items) -> DataFrame:
-    """(item, doc_id) of all documents whose bound reaches the item's floor."""
+    """(item, doc_id) of all documents whose bound exceeds the item's floor, or
+    equals it with an id up to that of the floor's document."""
     shared = index.sparkSession.sparkContext.broadcast(items)
 
     def batches(arriving: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         bounds = Bounds(shared.value)
-        floor = np.maximum(1, shared.value.floor)[:, None]
+        floor, last = shared.value.floor[:, None], shared.value.last[:, None]
         for batch in arriving:
             for row in batch.to_pylist():
                 found = bounds.of(row)
-                item, column = np.nonzero(found >= floor)
                 ids = pa.array(row["ids"], pa.int64())
+                names = ids.fill_null(_NO_ID).to_numpy()
+                reached = (found > floor) | ((found == floor) & (names <= last) & (found > 0))
+                item, column = np.nonzero(reached)
                 yield {
                     "item": item.astype(np.int32), "doc_id": ids.take(pa.array(column)),
                     "bound": found[item, column],
@@ -427,10 +427,11 @@ def _search_block(rows: DataFrame, index: DataFrame, items: Items, k: int) -> Da
     # at most k rows per item of the block come back
     floors = (
         _exact(rows, likely.where(F.col("rank") <= k), items, k).where(F.col("rank") == k)
-        .select("item", "score").collect()
+        .select("item", "score", "doc_id").collect()
     )
-    for item, score in floors:
+    for item, score, doc_id in floors:
         items.floor[item] = score
+        items.last[item] = _NO_ID if doc_id is None else doc_id
     candidates = pin(_not_excluded(index, items).select("item", "doc_id"))
     counted = candidates.groupBy("item").agg(F.count(F.lit(1)).alias("candidates"))
     names = rows.sparkSession.createDataFrame(

@@ -102,16 +102,9 @@ def test_bounds_are_never_below_scores(spark, monkeypatch, bits):
         block = bitsliced._Block(size)
         members = [c for c in counted if bitsliced.signature_bits(len(c)) == size]
         for c in members:
-            hashed = bitsliced.WordHashes().of(list(c))
-            tf = np.array(list(c.values()))
-            top = np.floor(np.log2(tf)).astype(int)
             block.ids.append(0)
-            block.n.append(int(tf.sum()))
-            block.most.append(int(tf.max()))
-            block.places.append(np.unique(np.concatenate([
-                bitsliced.positions(hashed[top >= l], np.full((top >= l).sum(), l), size).ravel()
-                for l in range(top.max() + 1)
-            ])))
+            block.hashes.append(bitsliced.WordHashes().of(list(c)))
+            block.tf.append(np.array(list(c.values())))
         row = {k: v[0] for k, v in block.sliced().items()}
         found = bounds.of(row)
         for column, c in enumerate(members):
