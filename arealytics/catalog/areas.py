@@ -86,11 +86,12 @@ NAMED["zip_figures"] = _sql_standard("zip_survey", "GEOID")
 
 def _sql_shared(counts: list[str]) -> str:
     sums = ", ".join(
-        f'CAST(round_even(coalesce(sum("{c}" * "AREA_RATIO"), 0), 0) AS BIGINT) AS "{c}"'
+        f'CAST(round_even(coalesce(sum(CAST("{c}" AS DECIMAL(20,3)) * CAST("AREA_RATIO" AS DECIMAL(16,12))), 0), 0) AS BIGINT)'
+        f' AS "{c}"'
         for c in [*counts, INCOME]
     )
     return (
-        f'SELECT "CO_MTRS" AS comtrs, {sums}, sum("AREA_RATIO") AS w'
+        f'SELECT "CO_MTRS" AS comtrs, {sums}, CAST(sum(CAST("AREA_RATIO" AS DECIMAL(16,12))) AS DOUBLE) AS w'
         ' FROM section_xwalk x LEFT JOIN tract_survey s ON x."GEOID" = s."FIPS"'
     )
 
@@ -372,8 +373,10 @@ def townships(t: Inputs) -> DataFrame:
 
 @query(
     "usage_by_township",
-    f"""SELECT "MeridianTownshipRange", {_SQL_SUMS} FROM use_keyed
-        WHERE usetype = 'AG' AND "MeridianTownshipRange" IS NOT NULL GROUP BY "MeridianTownshipRange" """,
+    f"""SELECT "MeridianTownshipRange", lbs_chm_used, lbs_prd_used
+        FROM (SELECT DISTINCT "MeridianTownshipRange" FROM section_townships)
+        LEFT JOIN (SELECT "MeridianTownshipRange", {_SQL_SUMS} FROM use_keyed WHERE usetype = 'AG'
+                   GROUP BY "MeridianTownshipRange") USING ("MeridianTownshipRange")""",
 )
 def _usage_by_township(t):
     out = use_by_area(

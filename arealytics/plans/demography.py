@@ -27,6 +27,9 @@ from arealytics.specs import (
 )
 
 
+_COUNT, _RATIO = "decimal(20,3)", "decimal(16,12)"
+
+
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -120,7 +123,8 @@ def _weighted(
     ignore_missing_income: bool,
     ratio: str,
 ) -> DataFrame:
-    """Counts and income times ratio, summed per area in one aggregate."""
+    """Counts and income times ratio, summed per area in one aggregate: exactly,
+    counts with three and ratios with twelve digits after the point."""
     known = tracts.select(F.col(tract_id).alias("_tract"), *map(_c, [*counts, INCOME]))
     shared = lookup_join(
         pairs.select(area_id, F.col("_tract"), ratio),
@@ -129,16 +133,19 @@ def _weighted(
         "left",
         fits_broadcast(tracts),
     )
-    r = F.coalesce(_c(ratio), F.lit(0.0))
+    # fixed point: a sum at exactly a half must not depend on the rows' order
+    r = F.coalesce(_c(ratio).cast(_RATIO), F.lit(0).cast(_RATIO))
     income_weight = (
         F.when(_c(INCOME).isNotNull(), r) if ignore_missing_income else r
     )
     # a null count or income adds 0, as does a null ratio
     sums = [
-        F.bround(F.coalesce(F.sum(_c(c) * r), F.lit(0.0)), 0).cast("long").alias(c)
+        F.bround(F.coalesce(F.sum(_c(c).cast(_COUNT) * r), F.lit(0)), 0).cast("long").alias(c)
         for c in [*counts, INCOME]
     ]
-    return shared.groupBy(area_id).agg(*sums, F.sum(income_weight).alias("_weight"))
+    return shared.groupBy(area_id).agg(
+        *sums, F.sum(income_weight).cast("double").alias("_weight")
+    )
 
 
 def area_demography(

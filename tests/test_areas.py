@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from arealytics.catalog import areas  # noqa: F401  (registers the queries)
 from arealytics.catalog.registry import QUERIES
 from arealytics.catalog.views import Inputs
+from arealytics.plans import demography
+from arealytics.specs import COUNTS, INCOME
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -34,3 +36,20 @@ def test_checks_compare_every_level(spark):
     assert found == {"tract", "school", "zip", "county", "township", "section"}
     found = {r.title for r in QUERIES["population_reconcile_every_level"](t).collect()}
     assert found == {"county", "school", "zip", "section", "township"}
+
+
+def test_weighted_sums_do_not_depend_on_row_order(spark):
+    # 40 tracts of 5 people, each a 0.0125th: 2.5 people, a tie for the rounding
+    tracts = spark.range(40).select(
+        F.col("id").cast("string").alias("FIPS"), *[F.lit(5).cast("long").alias(c) for c in COUNTS],
+        F.lit(1000).cast("long").alias(INCOME),
+    )
+    shares = spark.range(40).selectExpr("'a' AS area", "CAST(id AS STRING) AS GEOID", "0.0125D AS AREA_RATIO")
+    areas = spark.sql("SELECT 'a' AS area, 1.0D AS ALAND")
+    found = set()
+    for parts in (1, 3, 7):
+        for descending in (False, True):
+            order = F.desc("GEOID") if descending else F.asc("GEOID")
+            pairs = shares.repartition(parts).sortWithinPartitions(order)
+            found.update(demography.area_demography(areas, pairs, tracts, "area").collect())
+    assert len(found) == 1 and found.pop()["Pop Total"] == 2
