@@ -9,7 +9,9 @@ from arealytics.catalog.views import Inputs, div, section_code, tract_code
 from arealytics.functions import projection
 from arealytics.functions.projection import project_albers
 from arealytics.operators import geometry
+from arealytics.operators.contours import trace_rings
 from arealytics.operators.crosswalk import build_crosswalk
+from arealytics.operators.union import union_edges
 from arealytics.plans.clean import section_meridians
 
 # A shape family: table, id, origin, and rings as (condition, hole, corners).
@@ -226,6 +228,59 @@ def _dissolve_area(t):
     return rounded(geometry.layer_area(merged), {"area": 6})
 
 
+# Unit squares on a grid of halves: many of one block overlap.
+_HALF_X, _HALF_Y = "(s_suppkey * 7 % 41)", "(s_suppkey * 3 % 37)"
+_BLOCK_NAME = "CAST(s_suppkey % 5 AS VARCHAR)"
+
+NAMED["block_cell"] = " UNION ".join(
+    f"SELECT {_BLOCK_NAME} AS id, {_HALF_X} + {dx} AS cx, {_HALF_Y} + {dy} AS cy FROM supplier"
+    for dx in (0, 1)
+    for dy in (0, 1)
+)
+
+
+def blocks(t: Inputs) -> DataFrame:
+    """The squares of each block as one shape, as an edge table."""
+    x, y = f"CAST({_HALF_X} AS DOUBLE) / 2", f"CAST({_HALF_Y} AS DOUBLE) / 2"
+    corners = ", ".join(
+        f"named_struct('x', {x} + {dx}, 'y', {y} + {dy})" for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1))
+    )
+    squares = t("supplier").selectExpr(
+        "CAST(s_suppkey AS STRING) AS id",
+        f"{_BLOCK_NAME.replace('VARCHAR', 'STRING')} AS block",
+        f"array(named_struct('hole', false, 'points', array({corners}))) AS rings",
+    )
+    keys = squares.select(F.col("id").alias("_part"), "block")
+    return union_edges(geometry.to_edges(squares, "id"), keys, "_part", "block")
+
+
+@query(
+    "union_area",
+    "SELECT id, round(count(*) * 25e-2, 6) AS area FROM block_cell GROUP BY id",
+)
+def _union_area(t):
+    return rounded(geometry.layer_area(blocks(t)), {"area": 6})
+
+
+@query(
+    "dissolved_rings",
+    """SELECT id, round(count(*) * 25e-2, 6) AS area, round(sum(open) * 5e-1, 6) AS outline FROM (
+         SELECT c.id, c.cx, c.cy, 4 - count(d.id) AS open FROM block_cell c LEFT JOIN block_cell d
+           ON d.id = c.id AND abs(d.cx - c.cx) + abs(d.cy - c.cy) = 1 GROUP BY c.id, c.cx, c.cy)
+       GROUP BY id""",
+)
+def _dissolved_rings(t):
+    length = F.aggregate(
+        F.flatten(F.transform("rings", lambda r: geometry._sides(r["points"]))),
+        F.lit(0.0),
+        lambda sum_, s: sum_ + F.abs(s["bx"] - s["ax"]) + F.abs(s["by"] - s["ay"]),
+    )
+    out = trace_rings(blocks(t)).select(
+        "id", geometry.ring_area(F.col("rings")).alias("area"), length.alias("outline")
+    )
+    return rounded(out, {"area": 6, "outline": 6})
+
+
 @query(
     "dissolve_attributes",
     """SELECT p_brand, arg_min(p_name, p_partkey) AS p_name, arg_min(p_size, p_partkey) AS p_size

@@ -7,7 +7,8 @@ indicator of a shape is ``sum(sign * [x0 <= x < x1 and y < edge height at x])``,
 which makes area, containment and overlap plain sums over edges: they need no
 clipping, take holes and several parts, and aggregate partially.
 
-Parts of one shape must not overlap each other.
+Parts of one shape must not overlap each other; ``operators.union`` makes one
+shape of parts that do.
 """
 
 from __future__ import annotations
@@ -311,6 +312,10 @@ def _boxes(edges: DataFrame) -> DataFrame:
         F.min(F.least("y0", "y1")).alias("ymin"),
         F.max(F.greatest("y0", "y1")).alias("ymax"),
     )
+    return _leveled(box)
+
+
+def _leveled(box: DataFrame) -> DataFrame:
     side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
     level = F.when(side > 0, F.ceil(F.log2(side))).otherwise(F.lit(_LOWEST))
     return box.withColumn(

@@ -7,7 +7,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from arealytics.operators import geometry as g
+from arealytics.operators.contours import trace_rings
 from arealytics.operators.crosswalk import build_crosswalk
+from arealytics.operators.union import union_edges
 from arealytics.sources.shapes import decode_wkb, read_geojson
 from arealytics.sinks import write_geojson
 
@@ -297,3 +299,95 @@ def test_dissolve_rejects_overlapping_parts(spark):
     merged = g.dissolve_edges(g.to_edges(frame(spark, parts), "id"), keys, "part", "zone")
     with pytest.raises(Exception, match="parts overlap"):
         merged.collect()
+
+
+def union_of(spark, parts, keys=None):
+    df = frame(spark, {k: shape(*v) for k, v in parts.items()})
+    keys = keys or [(k, "all") for k in parts]
+    merged = union_edges(g.to_edges(df, "id"), spark.createDataFrame(keys, "_part string, name string"), "_part", "name")
+    return merged
+
+
+def square(x, y, side=1.0):
+    return [(x, y), (x + side, y), (x + side, y + side), (x, y + side)]
+
+
+def sampled_area(parts, step=0.02):
+    """Share of a fine grid's centres in any part."""
+    n, hits = int(8 / step), 0
+    for i in range(n):
+        for j in range(n):
+            x, y = -4 + (i + 0.5) * step, -4 + (j + 0.5) * step
+            hits += any(sum(inside([tuple(map(float, p)) for p in ring], x, y) for _, ring in p) % 2 for p in parts)
+    return hits * step * step
+
+
+UNIONS = {
+    "shifted": ({"a": [(False, square(0, 0))], "b": [(False, square(0.5, 0))]}, 1.5),
+    "diagonal": ({"a": [(False, square(0, 0))], "b": [(False, square(0.5, 0.5))]}, 1.75),
+    "nested": ({"a": [(False, square(0, 0, 3))], "b": [(False, square(1, 1))]}, 9.0),
+    "shared corner box": ({"a": [(False, square(0, 0, 2))], "b": [(False, square(0, 0))]}, 4.0),
+    "plugged hole": ({"a": [(False, SQUARE), (True, HOLE)], "b": [(False, HOLE)]}, 4.0),
+    "half plugged": ({"a": [(False, SQUARE), (True, HOLE)], "b": [(False, square(0.75, -1, 3))]}, 10.25),
+    "three": ({"a": [(False, square(0, 0))], "b": [(False, square(0.5, 0))], "c": [(False, square(0.25, 0.5))]}, 2.0),
+    "apart": ({"a": [(False, square(0, 0))], "b": [(False, square(5, 5))]}, 2.0),
+    "uneven border": ({"a": [(False, square(0, 0, 2))], "b": [(False, square(2, 0))], "c": [(False, square(2, 1))]}, 6.0),
+    "listed twice": ({"a": [(False, square(0, 0))], "b": [(False, square(0, 0))]}, 1.0),
+}
+
+
+def test_union_of_overlapping_parts(spark):
+    everything = {f"{case}/{part}": rings for case, (parts, _) in UNIONS.items() for part, rings in parts.items()}
+    merged = union_of(spark, everything, [(name, name.split("/")[0]) for name in everything])
+    found = dict(g.layer_area(merged).collect())
+    expected = {case: area for case, (_, area) in UNIONS.items()}
+    assert found == pytest.approx(expected, abs=1e-9)
+
+
+def test_union_of_stars(spark):
+    parts = {f"s{i}": [(False, star(i, 0.6 * math.cos(i), 0.6 * math.sin(2 * i)))] for i in range(5)}
+    merged = union_of(spark, parts).cache()
+    (found,) = [r["area"] for r in g.layer_area(merged).collect()]
+    assert found == pytest.approx(sampled_area(parts.values()), rel=0.01)
+    # every corner of the outline is passed as often in as out
+    (traced,) = trace_rings(merged).collect()
+    assert sum(1 - 2 * r["hole"] for r in traced["rings"]) >= 1
+    again = g.layer_area(g.to_edges(trace_rings(merged), "id")).first()["area"]
+    assert again == pytest.approx(found, rel=1e-12)
+
+
+def test_rings_of_dissolved_layers(spark, tmp_path):
+    parts = {
+        # a ring of eight squares around a hole with an island in it
+        **{f"p{i}{j}": [(False, square(i, j))] for i in range(3) for j in range(3) if (i, j) != (1, 1)},
+        "island": [(False, square(1.25, 1.25, 0.5))],
+        # two squares that touch in a corner, one apart
+        "q1": [(False, square(10, 0))], "q2": [(False, square(11, 1))], "q3": [(False, square(20, 0))],
+        "long": [(False, square(30, 0, 2))], "short1": [(False, square(32, 0))], "short2": [(False, square(32, 1))],
+        "tri": [(False, [(40, 0), (42, 0), (41, 3)])],
+    }
+    name = {"p": "frame", "i": "frame", "q": "corner", "l": "uneven", "s": "uneven", "t": "tri"}
+    merged = union_of(spark, parts, [(p, name[p[0]]) for p in parts])
+    traced = trace_rings(merged).cache()
+    found = {r["id"]: [(x["hole"], len(x["points"])) for x in r["rings"]] for r in traced.collect()}
+    assert {k: sum(h for h, _ in v) for k, v in found.items()} == {"frame": 1, "corner": 0, "uneven": 0, "tri": 0}
+    assert {k: len(v) for k, v in found.items()} == {"frame": 3, "corner": 3, "uneven": 1, "tri": 1}
+    # a hole stands after its outer ring, not after the island
+    frame_rings = next(r["rings"] for r in traced.collect() if r["id"] == "frame")
+    at = [x["hole"] for x in frame_rings].index(True)
+    assert max(p["x"] for p in frame_rings[at - 1]["points"]) == 3.0
+    area = dict(g.layer_area(merged).collect())
+    assert area == pytest.approx({"frame": 8.25, "corner": 3.0, "uneven": 6.0, "tri": 3.0})
+    traced.write.parquet(str(tmp_path / "layer"))
+    stored = spark.read.parquet(str(tmp_path / "layer"))
+    assert dict(stored.select("id", g.ring_area(F.col("rings"))).collect()) == pytest.approx(area)
+    write_geojson(traced, str(tmp_path / "json"), ["id"])
+    back = read_geojson(spark, str(tmp_path / "json"), ["id"], lines=True)
+    assert dict(back.select("id", g.ring_area(F.col("rings"))).collect()) == pytest.approx(area)
+
+
+def test_rings_of_an_empty_layer(spark):
+    empty = g.to_edges(frame(spark, {"x": []}), "id")
+    assert trace_rings(empty).collect() == []
+    keys = spark.createDataFrame([], "_part string, name string")
+    assert union_edges(empty, keys, "_part", "name").collect() == []
