@@ -70,6 +70,8 @@ _SQL_TOWNSHIP = (
 )
 _SQL_USE_ID = (
     "monthyear || coalesce(use_number, 'nan') || printf('%.14e', lbs_prd_used)"
+    " || CASE WHEN lbs_prd_used - CAST(printf('%.14e', lbs_prd_used) AS DOUBLE) <> 0"
+    " THEN printf('%+.14e', lbs_prd_used - CAST(printf('%.14e', lbs_prd_used) AS DOUBLE)) ELSE '' END"
     " || coalesce(comtrs, 'nan')"
 )
 

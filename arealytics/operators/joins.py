@@ -81,7 +81,7 @@ def lookup_join(
 
     width = shuffle_width(left)
     hot = hot_keys(left, keys, width)
-    content = [F.col(f"`{f.name}`") for f in left.schema.fields if _hashable(f)]
+    content = [F.col(f"`{f.name}`") for f in left.schema.fields if hashable(f)]
 
     salted = F.pmod(F.xxhash64(*content), F.col("_spread")).cast("int")
     many = _with_spread(left, hot, keys).withColumn(
@@ -94,7 +94,7 @@ def lookup_join(
     ).drop("_salt")
 
 
-def _hashable(field) -> bool:
+def hashable(field) -> bool:
     return "map<" not in field.dataType.simpleString()
 
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from arealytics.operators.joins import (
-    fits_broadcast,
-    lookup_join,
-    shuffle_width,
-)
+from arealytics.operators.joins import hashable, shuffle_width
 from arealytics.session import pin
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
@@ -19,15 +19,19 @@ _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
 def use_id() -> Column:
     """Key of one application; null when the month or the pounds are missing.
 
-    Pounds enter with all fifteen digits that a double holds whatever its size,
-    in a form that does not depend on how an engine prints doubles; a missing
-    number or section enters as 'nan'.
+    Pounds enter with fifteen digits and, where these name another double, with
+    what is left, so that all doubles are told apart in a form that does not
+    depend on how an engine prints them; a missing number or section enters as
+    'nan'.
     """
     pounds = F.col("lbs_prd_used").cast("double")
+    text = F.format_string("%.14e", pounds)
+    left = pounds - text.cast("double")
+    digits = F.concat(text, F.when(left != 0, F.format_string("%+.14e", left)).otherwise(""))
     return F.concat(
         F.col("monthyear"),
         F.coalesce(F.col("use_number"), F.lit("nan")),
-        F.when(pounds.isNotNull(), F.format_string("%.14e", pounds)),
+        F.when(pounds.isNotNull(), digits),
         F.coalesce(F.col("comtrs"), F.lit("nan")),
     )
 
@@ -68,27 +72,88 @@ def with_offset(ranged: DataFrame, size: Column) -> DataFrame:
     return ranged.join(F.broadcast(offsets), "_part")
 
 
+def _counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in range partitions with ``_part`` and ``_rank``, the 0-based number
+    of the row's key among the partition's keys (null for a null key): one
+    shuffle, and one pass that compares each row with the one before."""
+    keys = list(keys)
+    content = [F.col(f"`{f.name}`") for f in df.schema.fields if hashable(f)]
+    ranged = (
+        df.withColumn("_content", F.xxhash64(*content))
+        # a frequent key, the null key included, may fill several ranges
+        .repartitionByRange(shuffle_width(df), *keys, "_content")
+        .sortWithinPartitions(*keys)
+        .drop("_content")
+    )
+    added = [T.StructField("_part", T.IntegerType()), T.StructField("_rank", T.LongType())]
+    schema = T.StructType([*ranged.schema.fields, *added])
+
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, rank, before = TaskContext.get().partitionId(), -1, None
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(k)) for k in keys]
+            size = batch.num_rows
+            present = np.ones(size, bool)
+            fresh = np.zeros(size, bool)
+            for column in columns:
+                present &= column.is_valid().to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(present)
+            if len(at):
+                columns = [c.take(pa.array(at)) for c in columns]
+                changed = np.zeros(len(at), bool)
+                for column in columns:
+                    differs = pc.not_equal(column.slice(1), column.slice(0, len(at) - 1))
+                    changed[1:] |= differs.to_numpy(zero_copy_only=False)
+                changed[0] = before != [c[0].as_py() for c in columns]
+                before = [c[len(at) - 1].as_py() for c in columns]
+                fresh[at] = changed
+            ranks = rank + np.cumsum(fresh)
+            rank = int(ranks[-1]) if size else rank
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns,
+                    pa.array(np.full(size, part, np.int32)),
+                    pa.array(ranks, pa.int64(), mask=~present),
+                ],
+                names=[*batch.schema.names, "_part", "_rank"],
+            )
+
+    return ranged.mapInArrow(number, schema)
+
+
 def dense_index(
     df: DataFrame, keys: Sequence[str], name: str = "use_index"
 ) -> DataFrame:
     """Replace ``keys`` by one 0-based integer, dense over their distinct values.
 
     Numbers follow the order of the keys.  Rows with any null key share the one
-    number after the last.
+    number after the last.  The rows move once: they are ranged by key, numbered
+    within their range and stored; one row per range then tells how many keys
+    lie before it, a key on the border of two ranges counted once.
     """
     keys = list(keys)
-    present = F.lit(True)
-    for k in keys:
-        present = present & F.col(k).isNotNull()
-    ranged = in_ranges(df.select(*keys).where(present).distinct(), keys)
-    after_last = ranged.agg(F.count(F.lit(1))).scalar()
-    numbered = with_offset(ranged, F.count(F.lit(1))).select(
-        *keys, (F.col("_offset") + F.col("_place")).alias(name)
+    counted = pin(_counted(df, keys))
+    borders = counted.where("_rank IS NOT NULL").groupBy("_part").agg(
+        (F.max("_rank") + 1).alias("_keys"),
+        F.min_by(F.struct(*keys), "_rank").alias("_first"),
+        F.max_by(F.struct(*keys), "_rank").alias("_last"),
     )
+    # these windows see one row per range
+    order = Window.orderBy("_part")
+    shared = F.col("_first").eqNullSafe(F.lag("_last").over(order)).cast("long")
+    upto = F.sum(F.col("_keys") - F.col("_shared")).over(
+        order.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    offsets = pin(
+        borders.withColumn("_shared", shared).withColumn("_upto", upto)
+        .select("_part", "_upto", (F.col("_upto") - F.col("_keys")).alias("_offset"))
+    )
+    after_last = offsets.agg(F.coalesce(F.max("_upto"), F.lit(0))).scalar()
+    # bounded by the shuffle width
     return (
-        lookup_join(df, numbered, keys, "left", fits_broadcast(ranged))
-        .withColumn(name, F.coalesce(F.col(name), after_last))
-        .drop(*keys)
+        counted.join(F.broadcast(offsets.drop("_upto")), "_part", "left")
+        .withColumn(name, F.coalesce(F.col("_offset") + F.col("_rank"), after_last))
+        .drop("_part", "_rank", "_offset", *keys)
     )
 
 

@@ -63,6 +63,37 @@ def test_dense_index(spark, skewed, small, request):
     assert rows(again, "v", "use_index") == rows(out, "v", "use_index")
 
 
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("partitioning(")
+
+
+def test_dense_index_moves_rows_once(spark, skewed):
+    df = spark.createDataFrame(skewed.toPandas(), skewed.schema)
+    assert shuffles(keys._counted(df, ["k"])) == 1
+    # afterwards only the few rows of range offsets are sent around
+    assert shuffles(keys.dense_index(df, ["k"])) == 0
+
+
+def test_dense_index_with_borders_inside_keys(spark):
+    # more ranges than keys: most borders fall inside a key, a range may be empty
+    data = [(k, part, v) for k, part in ((None, "x"), ("a", None), ("b", "x"), ("b", "y"), ("c", "x")) for v in range(200)]
+    df = spark.createDataFrame(data, "k string, part string, v int").withColumns({"_k": F.col("k"), "_p": F.col("part")})
+    out = keys.dense_index(df.repartition(5, "v"), ["k", "part"]).select("_k", "_p", "use_index").distinct().collect()
+    expected = {("b", "x"): 0, ("b", "y"): 1, ("c", "x"): 2, (None, "x"): 3, ("a", None): 3}
+    assert {(r._k, r._p): r.use_index for r in out} == expected and len(out) == 5
+    assert keys.dense_index(df.limit(0), ["k", "part"]).collect() == []
+    nulls = keys.dense_index(df.where("k IS NULL"), ["k", "part"])
+    assert {r.use_index for r in nulls.collect()} == {0}
+
+
+def test_keys_tell_all_doubles_apart(spark):
+    values = [0.1 + 0.2, 0.3, 1e300, np.nextafter(1e300, 2e300), 5e-324, 0.0, -7.25, 123456789.123456789]
+    values += [np.nextafter(123456789.123456789, 0), 1.0, np.nextafter(1.0, 2)]
+    df = spark.createDataFrame([("2020-01", "n", float(v), "s") for v in values], "monthyear string, use_number string, lbs_prd_used double, comtrs string")
+    found = [r[0] for r in df.select(keys.use_id()).collect()]
+    assert len(set(found)) == len(values) and found[-2] == "2020-01n1.00000000000000e+00s"
+
+
 def test_ranges_are_in_order(spark):
     df = spark.createDataFrame([(i * 37 % 100,) for i in range(100)], "v int")
     ranged = keys.with_offset(keys.in_ranges(df, ["v"]), F.count(F.lit(1)))
