@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from arealytics.catalog.registry import NAMED, query, rounded
@@ -12,6 +14,7 @@ from arealytics.operators import geometry
 from arealytics.operators.contours import trace_rings
 from arealytics.operators.crosswalk import build_crosswalk
 from arealytics.operators.union import union_edges
+from arealytics.plans import crosswalks
 from arealytics.plans.clean import section_meridians
 
 # A shape family: table, id, origin, and rings as (condition, hole, corners).
@@ -78,37 +81,43 @@ def edges(t: Inputs, family: str) -> DataFrame:
     return geometry.to_edges(shapes(t, family), "id")
 
 
-for _name, (_table, _key, (_x, _y), _rings) in _FAMILIES.items():
-    NAMED[f"{_name}_vertex"] = " UNION ALL ".join(
-        f"SELECT {_key} AS id, {ring} AS ring, {str(hole).lower()} AS hole, {i} AS seq,"
-        f" {_x} + {dx} AS x, {_y} + {dy} AS y FROM {_table} WHERE {when}"
-        for ring, (when, hole, corners) in enumerate(_rings)
-        for i, (dx, dy) in enumerate(corners)
-    )
-    NAMED[f"{_name}_side"] = (
+def _name_layer(name: str) -> None:
+    """The SQL of sides, edges, sizes and boxes from a layer's vertices."""
+    NAMED[f"{name}_side"] = (
         "SELECT id, ring, hole, x AS ax, y AS ay, coalesce(lead(x) OVER w, first_value(x) OVER w) AS bx,"
-        f" coalesce(lead(y) OVER w, first_value(y) OVER w) AS by_ FROM {_name}_vertex"
+        f" coalesce(lead(y) OVER w, first_value(y) OVER w) AS by_ FROM {name}_vertex"
         " WINDOW w AS (PARTITION BY id, ring ORDER BY seq)"
     )
-    NAMED[f"{_name}_edge"] = (
+    NAMED[f"{name}_edge"] = (
         "SELECT id, least(ax, bx) AS x0, CASE WHEN ax <= bx THEN ay ELSE by_ END AS y0, greatest(ax, bx) AS x1,"
         " CASE WHEN ax <= bx THEN by_ ELSE ay END AS y1, sign(ax - bx) * turn AS sign FROM ("
         " SELECT *, sign(sum(ax * by_ - bx * ay) OVER (PARTITION BY id, ring)) * CASE WHEN hole THEN -1 ELSE 1 END AS turn"
-        f" FROM {_name}_side)"
+        f" FROM {name}_side)"
     )
-    NAMED[f"{_name}_size"] = (
-        f"SELECT id, sum(sign * (x1 - x0) * (y0 + y1) / 2e0) AS area FROM {_name}_edge GROUP BY id"
+    NAMED[f"{name}_size"] = (
+        f"SELECT id, sum(sign * (x1 - x0) * (y0 + y1) / 2e0) AS area FROM {name}_edge GROUP BY id"
     )
-    NAMED[f"{_name}_box"] = (
+    NAMED[f"{name}_box"] = (
         "SELECT id, min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax"
-        f" FROM {_name}_vertex GROUP BY id"
+        f" FROM {name}_vertex GROUP BY id"
+    )
+
+
+for _name, (_table, _key, (_x, _y), _rings) in _FAMILIES.items():
+    NAMED[f"{_name}_vertex"] = " UNION ALL ".join(
+        f"SELECT {_key} AS id, {ring} AS ring, {str(hole).lower()} AS hole, {i} AS seq,"
+        f" {_x} + {dx} AS x, {_y} + {dy} AS y FROM {_table} WHERE {when}"
+        for ring, (when, hole, corners) in enumerate(_rings)
+        for i, (dx, dy) in enumerate(corners)
     )
+    _name_layer(_name)
 
 
 def _sql_overlap(a: str, b: str) -> str:
-    """Every pair of boxes that meet, every pair of their edges."""
+    """Every pair of boxes that meet, every pair of their edges; what is below a
+    billionth of the smaller shape is rounding."""
     return f"""
-      SELECT a, b, sum(s * (w * (a0 + a1 + b0 + b1) / 4e0 - (CASE WHEN (a0 - b0) * (a1 - b1) >= 0
+      SELECT o.a, o.b, o.area FROM (SELECT a, b, sum(s * (w * (a0 + a1 + b0 + b1) / 4e0 - (CASE WHEN (a0 - b0) * (a1 - b1) >= 0
           THEN w * abs(a0 - b0 + a1 - b1) / 2e0
           ELSE w * ((a0 - b0) * (a0 - b0) + (a1 - b1) * (a1 - b1)) / (2e0 * (abs(a0 - b0) + abs(a1 - b1))) END) / 2e0)) AS area
       FROM (SELECT a, b, s, hi - lo AS w,
@@ -119,7 +128,8 @@ def _sql_overlap(a: str, b: str) -> str:
                   FROM {a}_box p JOIN {b}_box q ON p.xmin <= q.xmax AND q.xmin <= p.xmax AND p.ymin <= q.ymax AND q.ymin <= p.ymax
                   JOIN {a}_edge e ON e.id = p.id JOIN {b}_edge f ON f.id = q.id
                   WHERE e.x0 < e.x1 AND f.x0 < f.x1) WHERE lo < hi)
-      GROUP BY a, b HAVING area > 1e-9"""
+      GROUP BY a, b) o JOIN {a}_size p ON p.id = o.a JOIN {b}_size q ON q.id = o.b
+      WHERE o.area > least(p.area, q.area) * 1e-9"""
 
 
 NAMED["section_tract"] = _sql_overlap("section", "tract")
@@ -398,6 +408,15 @@ _LONLAT = (
 )
 
 
+def _sql_albers(lon: str, lat: str, extra: str, source: str) -> str:
+    """Rows of ``source`` with projected x and y."""
+    return f"""SELECT {extra}, r * sin(theta) AS x, CAST({projection.RADIUS_0!r} AS DOUBLE) - 4000000e0 - r * cos(theta) AS y
+        FROM (SELECT *, radians(lon + 120e0) * CAST({projection.CONE!r} AS DOUBLE) AS theta,
+          6378137e0 * sqrt(CAST({projection.SCALE!r} AS DOUBLE) - CAST({projection.CONE!r} AS DOUBLE) * ({_sql_q("s")}))
+            / CAST({projection.CONE!r} AS DOUBLE) AS r
+          FROM (SELECT *, sin(radians(lat)) AS s FROM (SELECT *, {lon} AS lon, {lat} AS lat FROM {source})))"""
+
+
 @query(
     "project_albers",
     f"""SELECT c_custkey, round(r * sin(theta), 3) AS x, round(CAST({projection.RADIUS_0!r} AS DOUBLE) - 4000000e0 - r * cos(theta), 3) AS y
@@ -411,3 +430,76 @@ def _project_albers(t):
     at = project_albers(F.col("lon"), F.col("lat"))
     out = points.select("c_custkey", at["x"].alias("x"), at["y"].alias("y"))
     return rounded(out, {"x": 3, "y": 3})
+
+
+# The plane layers laid out on the globe, a hundredth of a degree per unit.
+_LON, _LAT = "x * 1e-2 - 1195e-1", "y * 1e-2 + 365e-1"
+_TOWNSHIP_NAME = f"concat({_ZONE_NAME.replace('END', 'ELSE chr(32) END')}, ' ', CASE WHEN block % 4 = 3 THEN '' ELSE concat('T', CAST({div('block', 2)} AS STRING)) END)"
+
+NAMED["block_vertex"] = " UNION ALL ".join(
+    f"SELECT CAST(block AS VARCHAR) AS id, block * 4 AS ring, false AS hole, {i} AS seq,"
+    f" CAST(block % 5 * 2 + {dx} AS DOUBLE) AS x, CAST({div('block', 5)} * 2 + {dy} AS DOUBLE) AS y, block"
+    f" FROM (SELECT DISTINCT {_BLOCK} AS block FROM supplier)"
+    for i, (dx, dy) in enumerate([(0, 0), (2, 0), (2, 2), (0, 2)])
+)
+NAMED["township_vertex"] = (
+    f"SELECT trim({_TOWNSHIP_NAME}) AS id, ring, hole, seq, x, y FROM block_vertex WHERE trim({_TOWNSHIP_NAME}) <> ''"
+)
+for _name in ("section", "tract", "zone", "block", "township"):
+    NAMED[f"geo_{_name}_vertex"] = _sql_albers(_LON, _LAT, "id, ring, hole, seq", f"{_name}_vertex")
+    _name_layer(f"geo_{_name}")
+
+
+def _on_globe(df: DataFrame) -> DataFrame:
+    point = lambda p: F.struct(
+        (p["x"] * 0.01 - 119.5).alias("x"), (p["y"] * 0.01 + 36.5).alias("y")
+    )
+    return df.withColumn("rings", F.transform("rings", lambda r: F.struct(
+        r["hole"].alias("hole"), F.transform(r["points"], point).alias("points"))))
+
+
+def _sql_crosswalk(name: str, source: str, target: str) -> str:
+    NAMED[f"geo_{name}"] = _sql_overlap(f"geo_{source}", f"geo_{target}")
+    return f"""SELECT '{name}' AS crosswalk, source, target,
+         round(r * (1 / nullif(sum(r) OVER (PARTITION BY source), 0)), 7) AS "AREA_RATIO" FROM (
+         SELECT *, max(r > 95e-2) OVER (PARTITION BY source) AS has FROM (
+           SELECT a AS source, b AS target, round_even(o.area / s.area, 4) AS r
+           FROM geo_{name} o JOIN geo_{source}_size s ON s.id = a))
+       WHERE r > 95e-2 OR NOT has"""
+
+
+_CROSSWALKS = {
+    "section_zip": ("section", "zone"),
+    "section_tract": ("section", "tract"),
+    "section_school": ("section", "block"),
+    "tract_section": ("tract", "section"),
+    "tract_township": ("tract", "township"),
+}
+
+
+@query(
+    "crosswalk_job",
+    " UNION ALL ".join(_sql_crosswalk(n, s, x) for n, (s, x) in _CROSSWALKS.items()),
+)
+def _crosswalk_job(t):
+    parts = townships(t).withColumn("block", F.col("id").cast("long"))
+    named = parts.select(
+        F.when(F.col("block") % 4 == 3, " ").otherwise(F.col("Meridian")).alias("Meridian"),
+        F.when(F.col("block") % 4 == 3, "")
+        .otherwise(F.concat(F.lit("T"), F.floor(F.col("block") / 2).cast("string")))
+        .alias("TownshipRange"),
+        "rings",
+    )
+    found = crosswalks.crosswalk_job(
+        _on_globe(shapes(t, "section")).withColumnRenamed("id", "CO_MTRS"),
+        _on_globe(shapes(t, "tract")).withColumnRenamed("id", "GEOID"),
+        _on_globe(shapes(t, "zone")).withColumnRenamed("id", "ZCTA5CE20"),
+        _on_globe(parts.select(F.col("id").alias("FIPS"), "rings")),
+        _on_globe(named),
+    )
+    rows = [
+        df.select(F.lit(name).alias("crosswalk"), F.col(df.columns[0]).alias("source"),
+                  F.col(df.columns[1]).alias("target"), "AREA_RATIO")
+        for name, df in found.items()
+    ]
+    return rounded(reduce(DataFrame.unionByName, rows), {"AREA_RATIO": 7})

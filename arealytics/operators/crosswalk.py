@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from arealytics.operators.geometry import overlay_ratios
+from arealytics.operators.geometry import Layer, overlay_ratios
 from arealytics.operators.joins import fits_broadcast, lookup_join
 from arealytics.operators.keys import dense_index
+from arealytics.session import pin
 from arealytics.specs import APPORTIONED, DOMINANT_SHARE, UnitSpec
 
 
@@ -37,12 +38,12 @@ def normalize_ratios(
 
 
 def build_crosswalk(
-    source: DataFrame, target: DataFrame, source_id: str, target_id: str
+    source: DataFrame | Layer, target: DataFrame | Layer, source_id: str, target_id: str
 ) -> DataFrame:
-    """Crosswalk ``(source_id, target_id, AREA_RATIO)`` between two layers."""
-    return normalize_ratios(
-        overlay_ratios(source, target, source_id, target_id), source_id
-    )
+    """Crosswalk ``(source_id, target_id, AREA_RATIO)`` between two layers.  The
+    ratios are stored: their groups' figures are joined back to them."""
+    ratios = pin(overlay_ratios(source, target, source_id, target_id))
+    return normalize_ratios(ratios, source_id)
 
 
 def weight(

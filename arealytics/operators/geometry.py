@@ -13,8 +13,8 @@ shape of parts that do.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -401,21 +401,28 @@ def _meet(fine: DataFrame, coarse: DataFrame, strict: bool) -> DataFrame:
 _SLAB_LEVELS = 16  # narrower edges than 2**-16 of the widest share a level
 
 
-def _width_levels(*layers: DataFrame) -> list[list[int]]:
-    """The slab levels each layer's edges use, at most _SLAB_LEVELS + 1 small
-    numbers a layer; the common top decides what counts as narrow."""
+def _exact_levels(layer: DataFrame) -> list[int]:
+    """Width levels of a layer's edges, at most about a hundred small numbers."""
     width = F.col("x1") - F.col("x0")
-    exact = [
+    return (
         layer.where(width > 0)
         .agg(F.collect_set(F.ceil(F.log2(width)).cast("int")).alias("levels"))
         .first()["levels"]
-        for layer in layers
-    ]
+    )
+
+
+def _common_levels(exact: Sequence[Sequence[int]]) -> list[list[int]]:
+    """The slab levels each layer uses, at most _SLAB_LEVELS + 1; the common top
+    decides what counts as narrow."""
     top = max((x for found in exact for x in found), default=0)
     low = max(_LOWEST, top - _SLAB_LEVELS)
     return [sorted({max(x, low) for x in found} | {low}) for found in exact]
 
 
+def _width_levels(*layers: DataFrame) -> list[list[int]]:
+    return _common_levels([_exact_levels(layer) for layer in layers])
+
+
 def _slab_level(levels: list[int]) -> Column:
     width = F.col("x1") - F.col("x0")
     level = F.when(width > 0, F.ceil(F.log2(width))).otherwise(levels[0])
@@ -464,6 +471,8 @@ def _edge_meetings(
 
     def meet(of_fine: DataFrame, of_coarse: DataFrame, factor: int) -> DataFrame:
         f = lookup_join(pairs, named(of_fine, "f"), ["f"], "inner", _room(fine, 2 * factor))
+        # an edge beside the common box meets nothing there
+        f = f.where((F.col("f_x1") > F.col("xlo")) & (F.col("f_x0") < F.col("xhi")))
         c = named(of_coarse.drop("level"), "c")
         return lookup_join(
             f.drop("level"), c, ["c", "lv", "slab"], "inner", _room(coarse, 2 * factor)
@@ -481,17 +490,38 @@ def _edge_meetings(
     )
 
 
-def overlap_area(a: DataFrame, b: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Layer:
+    """An edge table stored with what every overlay of it needs."""
+
+    edges: DataFrame
+    boxes: DataFrame
+    areas: DataFrame
+    levels: tuple[int, ...]
+
+
+def stored_layer(edges: DataFrame | Layer) -> Layer:
+    """Edges, boxes and areas of a layer, worked out once and written."""
+    if isinstance(edges, Layer):
+        return edges
+    edges = pin(edges)
+    return Layer(edges, pin(_boxes(edges)), pin(layer_area(edges)), tuple(_exact_levels(edges)))
+
+
+def overlap_area(a: DataFrame | Layer, b: DataFrame | Layer) -> DataFrame:
     """``(a, b, area)`` of every pair of shapes with a common area.
 
     For two indicators that are sums over edges the common area is the double
     sum of ``sign_i * sign_j * integral(min(y_i, y_j))`` over the common x
     range of two edges.  Heights count from the bottom of the common box, so
     large coordinates lose no digits; an overlap below a billionth of the
-    smaller shape is rounding.
+    smaller shape is rounding.  A layer given as ``Layer`` is not read from its
+    source again.
     """
-    levels = _width_levels(a, b)
-    boxes_a, boxes_b = pin(_boxes(a)), pin(_boxes(b))
+    layers = stored_layer(a), stored_layer(b)
+    a, b = layers[0].edges, layers[1].edges
+    levels = _common_levels([layer.levels for layer in layers])
+    boxes_a, boxes_b = layers[0].boxes, layers[1].boxes
     up = pin(_meet(boxes_a, boxes_b, strict=False))
     down = pin(_meet(boxes_b, boxes_a, strict=True))
     met = (
@@ -524,8 +554,8 @@ def overlap_area(a: DataFrame, b: DataFrame) -> DataFrame:
         w * (F.col("a0") + F.col("a1") + F.col("b0") + F.col("b1")) / 4.0 - gap / 2.0
     )
     common = met.groupBy("a", "b").agg(F.sum(F.col("sign") * lower).alias("area"))
-    for side, layer in (("a", a), ("b", b)):
-        whole = pin(layer_area(layer)).withColumnsRenamed({"id": side, "area": f"_of_{side}"})
+    for side, layer in zip("ab", layers):
+        whole = layer.areas.withColumnsRenamed({"id": side, "area": f"_of_{side}"})
         common = lookup_join(common, whole, [side], "inner")
     least = F.least(F.abs("_of_a"), F.abs("_of_b"))
     return common.where(F.col("area") > least * _NOTHING).select("a", "b", "area")
@@ -591,12 +621,13 @@ def locate_layers(points: DataFrame, layers: Mapping[str, DataFrame]) -> DataFra
 
 
 def overlay_ratios(
-    source: DataFrame, target: DataFrame, source_id: str, target_id: str
+    source: DataFrame | Layer, target: DataFrame | Layer, source_id: str, target_id: str
 ) -> DataFrame:
     """Share of each source's area that lies in each target, four digits."""
+    source = stored_layer(source)
     common = overlap_area(source, target)
-    areas = layer_area(source).withColumnsRenamed({"id": "a", "area": "_whole"})
-    return lookup_join(common, areas, ["a"], "inner", fits_broadcast(source)).select(
+    areas = source.areas.withColumnsRenamed({"id": "a", "area": "_whole"})
+    return lookup_join(common, areas, ["a"], "inner").select(
         F.col("a").alias(source_id),
         F.col("b").alias(target_id),
         F.bround(F.col("area") / F.col("_whole"), 4).alias("AREA_RATIO"),

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from arealytics.functions.dates import month_year
 from arealytics.functions.numbers import clean_code, clean_numeric
 from arealytics.functions.text import township_range
-from arealytics.operators.geometry import dissolve_edges, points_within
+from arealytics.operators.geometry import points_within
 from arealytics.operators.joins import lookup_join
+from arealytics.operators.union import union_edges
 from arealytics.session import pin
 from arealytics.specs import CODE_BLANKS, CODES, MEASURE_BLANKS, MEASURES, REPORT_COLUMNS
 
@@ -34,7 +35,7 @@ def section_meridians(
     ``centroids`` is ``(point, x, y)``; ``townships`` an edge table whose parts
     ``keys`` (``id, Meridian``) merges into meridian areas.
     """
-    areas = dissolve_edges(
+    areas = union_edges(
         townships, keys.withColumnRenamed("id", "_part"), "_part", "Meridian"
     )
     return points_within(centroids, areas).select(

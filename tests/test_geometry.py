@@ -391,3 +391,30 @@ def test_rings_of_an_empty_layer(spark):
     assert trace_rings(empty).collect() == []
     keys = spark.createDataFrame([], "_part string, name string")
     assert union_edges(empty, keys, "_part", "name").collect() == []
+
+
+def test_overlay_stands_once_in_a_crosswalk(spark):
+    shapes = {f"s{i}": shape((False, square(i % 4, i // 4))) for i in range(8)}
+    source = g.to_edges(frame(spark, shapes), "id")
+    target = g.stored_layer(g.to_edges(frame(spark, {"t": shape((False, square(0.5, 0, 2)))}), "id"))
+    out = build_crosswalk(source, target, "s", "t")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the ratios are read twice from their table; nothing of the overlay is left
+    assert plan.count("FileScan") <= 3 and "slab" not in plan
+    found = {r["s"]: r["AREA_RATIO"] for r in out.collect()}
+    assert set(found) == {"s0", "s1", "s2", "s4", "s5", "s6"} and set(found.values()) == {1.0}
+
+
+def test_townships_are_named_trimmed_and_merged(spark):
+    from arealytics.plans.crosswalks import TOWNSHIP, section_areas, township_edges
+
+    def at(x, y):
+        return shape((False, [(-120 + x / 100, 37 + y / 100) for x, y in square(x, y)]))
+
+    rows = [("M", "T1", at(0, 0)), ("M", "T1", at(0.5, 0)), ("M", "T1", at(0, 0)), (" ", "", at(5, 5)),
+            (None, "T1", at(7, 7)), ("", "T2 ", at(3, 3))]
+    parts = spark.createDataFrame(rows, f"Meridian string, TownshipRange string, rings {g.RINGS_TYPE}")
+    area = dict(g.layer_area(township_edges(parts)).collect())
+    one = section_areas(frame(spark, {"a": at(0, 0)}).withColumnRenamed("id", "CO_MTRS")).first()["ALAND"]
+    assert set(area) == {"M T1", "T2"} and area["T2"] == pytest.approx(one, rel=1e-2)
+    assert area["M T1"] > 1.2 * one and TOWNSHIP == "MeridianTownshipRange"
