@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
-from arealytics.catalog.registry import NAMED, query
+from arealytics.catalog.registry import NAMED, SQL, query
 from arealytics.catalog.views import Inputs
 from arealytics.functions import dates, numbers, text
 from arealytics.operators.aggregates import assign_file_year, file_year
 from arealytics.operators.filters import drop_null
 from arealytics.operators.keys import use_id
 from arealytics.plans import clean, older
+from arealytics.session import shared_folder
 from arealytics.sinks import pending_files
-from arealytics.sources.reports import union_years
+from arealytics.sources.reports import read_ragged_years, union_years
 from arealytics.sources.tables import drop_header_rows, harvest_links
 from arealytics.specs import (
     CODE_BLANKS,
@@ -298,6 +301,43 @@ def _older_use(t):
     return found.withColumnRenamed("county_cd", "county")
 
 
+NAMED["section_keys"] = (
+    'SELECT "CO_MTRS", min("GEOID") AS "GEOID", min("ZCTA5CE20") AS "ZIP" FROM section_xwalk GROUP BY "CO_MTRS"'
+)
+
+
+@query(
+    "older_use_keys",
+    f"""SELECT u.*, "GEOID", "ZIP" FROM ({SQL["older_use"]}) u LEFT JOIN section_keys ON comtrs = "CO_MTRS" """,
+)
+def _older_use_keys(t):
+    keys = t("section_xwalk").groupBy("CO_MTRS").agg(
+        F.min("GEOID").alias("GEOID"), F.min("ZCTA5CE20").alias("ZIP")
+    )
+    found = older.older_use(t("old_use"), t("old_county"), keys=keys)
+    return found.withColumnRenamed("county_cd", "county")
+
+
+@query(
+    "ragged_years",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS "order", CASE WHEN y % 2 = 0 THEN o_orderstatus END AS status,
+         CASE WHEN y % 2 = 1 THEN o_orderpriority END AS priority, CAST(y AS INT) AS _year
+       FROM (SELECT *, year(o_orderdate) AS y FROM orders) WHERE y <> 1995""",
+)
+def _ragged_years(t):
+    """Orders written as one folder of text per year, of two layouts, and read
+    back; one year is missing."""
+    folder = f"{shared_folder(t.spark)}/ragged/{uuid.uuid4().hex}"
+    rows = t("orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS `order`", "o_orderstatus AS status",
+        "o_orderpriority AS priority", "year(o_orderdate) AS year",
+    ).where("year <> 1995")
+    for odd, other in ((0, "priority"), (1, "status")):
+        layout = rows.where(F.col("year") % 2 == odd).drop(other)
+        layout.write.mode("append").partitionBy("year").option("header", True).csv(folder)
+    return read_ragged_years(t.spark, folder + "/year={year}/*.csv", range(1992, 2030))
+
+
 @query(
     "zip_county",
     """SELECT "ZCTA5CE20", name, "ZIP", "COUNTY" FROM zip_area JOIN (

@@ -432,6 +432,32 @@ def _project_albers(t):
     return rounded(out, {"x": 3, "y": 3})
 
 
+def _sql_grid(lon: str, lat: str) -> tuple[str, str]:
+    e = f"CAST({projection.ECCENTRICITY!r} AS DOUBLE)"
+    t = f"tan(pi() / 4e0 - radians({lat}) / 2e0) / power((1e0 - {e} * sin(radians({lat}))) / (1e0 + {e} * sin(radians({lat}))), {e} / 2e0)"
+    radius = f"CAST({projection.GRID_SCALE!r} AS DOUBLE) * power({t}, CAST({projection.GRID_CONE!r} AS DOUBLE))"
+    angle = f"radians({lon} + 1205e-1) * CAST({projection.GRID_CONE!r} AS DOUBLE)"
+    foot = "(1200e0 / 3937e0)"
+    return (
+        f"(2e6 + {radius} * sin({angle})) / {foot}",
+        f"(5e5 + CAST({projection.GRID_RADIUS_0!r} AS DOUBLE) - {radius} * cos({angle})) / {foot}",
+    )
+
+
+@query(
+    "project_grid",
+    """SELECT c_custkey, round({}, 2) AS x, round({}, 2) AS y, round(lon, 8) AS lon, round(lat, 8) AS lat
+       FROM (SELECT c_custkey, {} FROM customer)""".format(*_sql_grid("lon", "lat"), ", ".join(_LONLAT)),
+)
+def _project_grid(t):
+    """To the local grid, and back to what it began with."""
+    points = t("customer").selectExpr("c_custkey", *_LONLAT)
+    at = points.withColumn("_p", projection.project_grid(F.col("lon"), F.col("lat")))
+    back = projection.from_grid(F.col("_p.x"), F.col("_p.y"))
+    out = at.select("c_custkey", "_p.x", "_p.y", back["x"].alias("lon"), back["y"].alias("lat"))
+    return rounded(out, {"x": 2, "y": 2, "lon": 8, "lat": 8})
+
+
 # The plane layers laid out on the globe, a hundredth of a degree per unit.
 _LON, _LAT = "x * 1e-2 - 1195e-1", "y * 1e-2 + 365e-1"
 _TOWNSHIP_NAME = f"concat({_ZONE_NAME.replace('END', 'ELSE chr(32) END')}, ' ', CASE WHEN block % 4 = 3 THEN '' ELSE concat('T', CAST({div('block', 2)} AS STRING)) END)"

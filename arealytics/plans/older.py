@@ -5,14 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from arealytics.functions.dates import slash_date
+from arealytics.functions.projection import from_grid, project_grid, project_rings
 from arealytics.functions.text import nth_word, zero_pad
+from arealytics.operators.geometry import interior_point
 from arealytics.operators.joins import renamed_lookup
 from arealytics.specs import STATE_PREFIX
 
 
-def older_use(use: DataFrame, counties: DataFrame, since: str = "2017-01-01") -> DataFrame:
+def section_points(sections: DataFrame, section: str = "CO_MTRS") -> DataFrame:
+    """``(point, x, y)``: a point inside each section, found on the local grid
+    and given in degrees.  Rows that repeat another whole row go."""
+    inside = interior_point(project_rings(F.col("rings"), project_grid))
+    points = sections.select(F.col(section).alias("point"), "rings").distinct().select(
+        "point", inside.alias("_p")
+    )
+    at = from_grid(F.col("_p.x"), F.col("_p.y"))
+    return points.select("point", at.alias("_at")).select(
+        "point", F.col("_at.x").alias("x"), F.col("_at.y").alias("y")
+    )
+
+
+def with_section_keys(use: DataFrame, keys: DataFrame) -> DataFrame:
+    """Use rows with the area ids of their section (``CO_MTRS`` and one column
+    per kind of area); a row without a known section keeps nulls."""
+    named = keys.withColumnRenamed("county_id", "COUNTY").distinct()
+    return renamed_lookup(use, named, {"comtrs": "CO_MTRS"})
+
+
+def older_use(
+    use: DataFrame,
+    counties: DataFrame,
+    since: str = "2017-01-01",
+    keys: DataFrame | None = None,
+) -> DataFrame:
     """Dated use from ``since`` on, farm use told by the presence of a section,
-    with five-digit county codes and county names."""
+    with five-digit county codes and county names, and with the area ids of the
+    section where ``keys`` are given."""
     dated = (
         use.withColumn("date", slash_date(F.col("applic_dt")))
         .where(F.col("date") >= F.lit(since).cast("date"))
@@ -32,6 +60,8 @@ def older_use(use: DataFrame, counties: DataFrame, since: str = "2017-01-01") ->
         zero_pad(F.col("FIPS"), 5).alias("FIPS"),
         "Name",
     )
+    if keys is not None:
+        dated = with_section_keys(dated, keys)
     return renamed_lookup(dated, names, {"county_cd": "CountyCode"})
 
 

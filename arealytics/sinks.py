@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from arealytics.sources.files import exists, filesystem, hadoop_path
+from arealytics.sources.files import exists, filesystem, hadoop_path, matching
 
 
 def write_year(df: DataFrame, path: str, year: str = "YEAR", *within: str) -> None:
@@ -164,3 +164,55 @@ def _replace(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
     if fs.exists(aside):
         fs.delete(aside, True)
+
+
+# --------------------------------------------------------------------------
+# Versions: readers follow a pointer, which changes last and at once
+# --------------------------------------------------------------------------
+
+_POINTER = "CURRENT"
+
+
+def publish_version(df: DataFrame, root: str, keep: int = 2) -> str:
+    """Write ``df`` as a new version under ``root`` and point to it.
+
+    A reader that follows the pointer sees the old version or the new one,
+    never a gap.  The newest ``keep`` versions stay, so that a reader of the
+    version before is not cut off.
+    """
+    spark = df.sparkSession
+    root = root.rstrip("/")
+    fs = filesystem(spark, root)
+    number = max(versions(spark, root), default=0) + 1
+    write_table(df, f"{root}/v{number:010d}")
+    # the new pointer is complete before it takes the place of the old one
+    fresh = hadoop_path(spark, f"{root}/{_POINTER}.{number}")
+    stream = fs.create(fresh, True)
+    stream.write(bytearray(f"v{number:010d}".encode()))
+    stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(
+        fresh.toUri() if fresh.toUri().getScheme() else fs.getUri(),
+        spark.sparkContext._jsc.hadoopConfiguration(),
+    )
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    context.rename(
+        fs.makeQualified(fresh), fs.makeQualified(hadoop_path(spark, f"{root}/{_POINTER}")), options
+    )
+    for old in sorted(versions(spark, root))[:-keep]:
+        fs.delete(hadoop_path(spark, f"{root}/v{old:010d}"), True)
+    return f"{root}/v{number:010d}"
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the versions under ``root``, complete or not."""
+    found = matching(spark, f"{root.rstrip('/')}/v??????????")
+    return [int(path.rsplit("/v", 1)[1]) for path in found]
+
+
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The version that the pointer names at this moment."""
+    root = root.rstrip("/")
+    (line,) = spark.read.text(f"{root}/{_POINTER}").collect()
+    return spark.read.parquet(f"{root}/{line[0]}")

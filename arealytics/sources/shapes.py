@@ -121,27 +121,51 @@ def geojson_rings(kind: Column, coordinates: Column) -> Column:
     )
 
 
+_FEATURE = "properties:map<string,string>,geometry:struct<type:string,coordinates:string>"
+
+
+def _split_features(spark: SparkSession, path: str) -> DataFrame:
+    """The features of large documents, cut at each ``"Feature"``.
+
+    The text reader hands out records between two cuts, and a record that
+    reaches over the border of two tasks is completed by the task it begins in.
+    A record holds the rest of its feature and then the begin of the next,
+    which the parser leaves alone.
+    """
+    pieces = spark.read.option("lineSep", '"Feature"').text(path)
+    # what stands before the first feature opens the document
+    rest = pieces.where(F.col("value").rlike(r"^\s*[,}]"))
+    whole = F.concat(F.lit('{"type":"Feature"'), F.col("value"))
+    parsed = F.from_json(whole, T.StructType.fromDDL(_FEATURE), {"mode": "FAILFAST"})
+    return rest.select(parsed.alias("f"))
+
+
 def read_geojson(
-    spark: SparkSession, path: str, properties: Sequence[str], lines: bool = False
+    spark: SparkSession,
+    path: str,
+    properties: Sequence[str],
+    lines: bool = False,
+    split: bool = False,
 ) -> DataFrame:
     """GeoJSON polygons: the named properties as text, and ``rings``.
 
-    A FeatureCollection is one document and is read by one task per file;
-    ``lines`` reads the splittable form with one feature per line.
+    A FeatureCollection is one document and is read by one task per file.
+    ``lines`` reads the form with one feature per line.  ``split`` cuts a large
+    document between its features and reads it with several tasks; features
+    must begin with their type, as writers put it, and no text but the type may
+    be the one word Feature.
     """
-    fields = (
-        "properties:map<string,string>,"
-        "geometry:struct<type:string,coordinates:string>"
-    )
     if lines:
         features = (
-            spark.read.schema(T.StructType.fromDDL(fields))
+            spark.read.schema(T.StructType.fromDDL(_FEATURE))
             .json(path)
             .select(F.struct("properties", "geometry").alias("f"))
         )
+    elif split:
+        features = _split_features(spark, path)
     else:
         features = (
-            spark.read.schema(f"features array<struct<{fields}>>")
+            spark.read.schema(f"features array<struct<{_FEATURE}>>")
             .option("multiLine", True)
             .json(path)
             .select(F.explode("features").alias("f"))

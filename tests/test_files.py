@@ -91,6 +91,65 @@ def test_ragged_years_skip_missing(spark, tmp_path):
     assert rows(out, "a", "b", "c", "_year") == [("1", "2", None, 2001), ("3", None, "4", 2003)]
 
 
+def test_ragged_years_scan_each_header_once(spark, tmp_path):
+    for year in range(2001, 2007):
+        folder = tmp_path / f"pur{year}" / (f"pur{year}" if year == 2004 else "")
+        folder.mkdir(parents=True)
+        for part in (1, 2):
+            head, row = ("a,b", "1,2") if year % 2 else ("b,c", "3,\"x, y\"")
+            (folder / f"udc {part}.txt").write_text(f"{head}\n{row}\n")
+    # the folder of a year repeated inside it is taken instead
+    (tmp_path / "pur2004" / "udc 9.txt").write_text("z\n1\n")
+    out = reports.read_ragged_years(spark, str(tmp_path) + "/pur{year}/udc*.txt", range(2000, 2008))
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+    expected = [("1", "2", None, y) for y in (2001, 2003, 2005)] + [(None, "3", "x, y", y) for y in (2002, 2004, 2006)]
+    assert sorted(rows(out, "a", "b", "c", "_year"), key=str) == sorted(expected * 2, key=str)
+    with pytest.raises(FileNotFoundError):
+        reports.read_ragged_years(spark, str(tmp_path) + "/none{year}/udc*.txt", range(2000, 2008))
+
+
+def test_archives_are_read_in_chunks(spark, tmp_path):
+    for name, count in {"big": 950, "small": 3}.items():
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr(f"{name}.txt", report(*[{"USE_NUMBER": f"{name}{i}"} for i in range(count)]))
+    (tmp_path / "torn.zip").write_bytes((tmp_path / "big.zip").read_bytes()[:-300])
+    read, failures = reports.read_zipped_reports(spark, str(tmp_path), COLUMNS, chunk_rows=10)
+    assert read.count() == 953 and read.select("USE_NUMBER").distinct().count() == 953
+    assert [r["_file"].rsplit("/", 1)[1] for r in failures.collect()] == ["torn.zip"]
+    none, failed = reports.read_zipped_reports(spark, str(tmp_path / "none"), COLUMNS)
+    assert none.count() == failed.count() == 0 and none.columns == [*COLUMNS, "_file"]
+
+
+def test_versions_leave_no_gap(spark, tmp_path):
+    root = str(tmp_path / "table")
+    for number in range(1, 5):
+        sinks.publish_version(spark.range(number), root)
+        reader = sinks.published(spark, root)
+        assert reader.count() == number
+        if number > 1:
+            # a reader of the version before, and one that comes while a new
+            # version is half written
+            assert before.count() == number - 1
+        (tmp_path / "table" / f"v{number + 1:010d}").mkdir()
+        assert sinks.published(spark, root).count() == number
+        (tmp_path / "table" / f"v{number + 1:010d}").rmdir()
+        before = reader
+    assert sorted(sinks.versions(spark, root)) == [3, 4]
+
+
+def test_section_keys_of_the_older_layout(spark):
+    use = spark.createDataFrame(
+        [("03/05/2018", "S1", "1"), ("03/05/2018", None, "2"), ("03/05/2018", "S9", "2"), ("01/01/2001", "S1", "1")],
+        "applic_dt string, comtrs string, county_cd string",
+    )
+    keys = spark.createDataFrame([("S1", "T1", "Z1"), ("S1", "T1", "Z1"), (None, "T2", "Z2")], "CO_MTRS string, GEOID string, ZIP string")
+    counties = spark.createDataFrame([("6001", "6001", "A"), ("6002", "6003", "B")], "CountyCode string, FIPS string, Name string")
+    out = older.older_use(use, counties, keys=keys)
+    assert rows(out, "comtrs", "GEOID", "ZIP", "Name") == [
+        ("S1", "T1", "Z1", "A"), ("S9", None, None, "B"), (None, None, None, "B"),
+    ]
+
+
 def test_code_tables(spark, tmp_path):
     path = tmp_path / "chemical.txt"
     path.write_bytes('chem_code,chemname\n"253","CHLORPYRIFOS \xe9"\n'.encode("latin-1"))

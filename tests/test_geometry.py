@@ -1,3 +1,4 @@
+import json
 import math
 import random
 import struct
@@ -6,10 +7,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from arealytics.functions.projection import from_grid, project_grid
 from arealytics.operators import geometry as g
 from arealytics.operators.contours import trace_rings
 from arealytics.operators.crosswalk import build_crosswalk
 from arealytics.operators.union import union_edges
+from arealytics.plans.older import section_points
 from arealytics.sources.shapes import decode_wkb, read_geojson
 from arealytics.sinks import write_geojson
 
@@ -418,3 +421,54 @@ def test_townships_are_named_trimmed_and_merged(spark):
     one = section_areas(frame(spark, {"a": at(0, 0)}).withColumnRenamed("id", "CO_MTRS")).first()["ALAND"]
     assert set(area) == {"M T1", "T2"} and area["T2"] == pytest.approx(one, rel=1e-2)
     assert area["M T1"] > 1.2 * one and TOWNSHIP == "MeridianTownshipRange"
+
+
+def test_one_document_read_by_several_tasks(spark, tmp_path):
+    features = [
+        {"type": "Feature", "properties": {"name": f"f{i}", "note": "a Feature, {\"x\"}", "n": i},
+         "geometry": {"type": "Polygon", "coordinates": [square(float(i), 0.0) + [(float(i), 0.0)]]}}
+        for i in range(400)
+    ]
+    features[7]["geometry"] = {"type": "MultiPolygon", "coordinates": [[square(0.0, 9.0)], [square(5.0, 9.0)]]}
+    document = {"type": "FeatureCollection", "name": "x", "crs": {"type": "name"}, "features": features, "more": [1]}
+    for name, form in {"tight": {"separators": (",", ":")}, "wide": {"indent": 2}}.items():
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(document, **form))
+        whole = read_geojson(spark, str(path), ["name", "n"])
+        setting = "spark.sql.files.maxPartitionBytes"
+        before = spark.conf.get(setting)
+        spark.conf.set(setting, "8k")
+        try:
+            split = read_geojson(spark, str(path), ["name", "n"], split=True)
+            assert split.rdd.getNumPartitions() > 4
+            assert sorted(split.collect()) == sorted(whole.collect()) and split.count() == 400
+        finally:
+            spark.conf.set(setting, before)
+
+
+def test_local_grid_round_trip(spark):
+    at = [(-120.5, 36.5), (-122.4194, 37.7749), (-119.5, 38.9), (-124.0, 32.6), (-114.2, 41.9)]
+    df = spark.createDataFrame(at, "lon double, lat double").withColumn("p", project_grid(F.col("lon"), F.col("lat")))
+    found = df.withColumn("q", from_grid(F.col("p.x"), F.col("p.y"))).collect()
+    for r in found:
+        # a millimetre is about 1e-8 degrees
+        assert r["q"]["x"] == pytest.approx(r["lon"], abs=1e-9) and r["q"]["y"] == pytest.approx(r["lat"], abs=1e-9)
+    origin = found[0]["p"]
+    assert (origin["x"], origin["y"]) == pytest.approx((6561666.6667, 1640416.6667), abs=1e-3)
+    # on the standard parallels lengths are true: a short step east
+    for parallel in (38 + 26 / 60, 37 + 4 / 60):
+        a, b = [
+            r["p"] for r in spark.createDataFrame([(-121.0, parallel), (-120.9999, parallel)], "lon double, lat double")
+            .select(project_grid(F.col("lon"), F.col("lat")).alias("p")).collect()
+        ]
+        e2 = 2 / 298.257222101 - 1 / 298.257222101**2
+        phi = math.radians(parallel)
+        true = 6378137 * math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2) * math.radians(0.0001)
+        assert math.hypot(b["x"] - a["x"], b["y"] - a["y"]) * 1200 / 3937 == pytest.approx(true, rel=1e-7)
+
+
+def test_points_inside_sections(spark):
+    ring = [(-120 + x / 60, 37 + y / 60) for x, y in [(0, 0), (1, 0), (1, 1), (0.2, 1), (0.2, 0.2), (0, 0.2)]]
+    sections = frame(spark, {"a": shape((False, ring))}).withColumnRenamed("id", "CO_MTRS")
+    (point,) = section_points(sections.unionByName(sections)).collect()
+    assert point["point"] == "a" and inside(ring, point["x"], point["y"])
