@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from arealytics.functions.dates import month_year
 from arealytics.functions.numbers import clean_code, clean_numeric
@@ -16,9 +16,11 @@ from arealytics.session import pin
 from arealytics.specs import CODE_BLANKS, CODES, MEASURE_BLANKS, MEASURES, REPORT_COLUMNS
 
 
-def rename_keep(df: DataFrame, mapping: Mapping[str, str] = REPORT_COLUMNS) -> DataFrame:
-    """Exactly the mapped columns, renamed."""
-    return df.select(*[F.col(f"`{a}`").alias(b) for a, b in mapping.items()])
+def rename_keep(
+    df: DataFrame, mapping: Mapping[str, str] = REPORT_COLUMNS, carry: Sequence[Column] = ()
+) -> DataFrame:
+    """Exactly the mapped columns, renamed, and those to ``carry`` along."""
+    return df.select(*[F.col(f"`{a}`").alias(b) for a, b in mapping.items()], *carry)
 
 
 def clean_columns(df: DataFrame, mode: str = "strict") -> DataFrame:
@@ -63,9 +65,12 @@ def attach_meridian(df: DataFrame, meridians: DataFrame) -> DataFrame:
     )
 
 
-def clean_use(raw: DataFrame, meridians: DataFrame, mode: str = "strict") -> DataFrame:
+def clean_use(
+    raw: DataFrame, meridians: DataFrame, mode: str = "strict", carry: Sequence[Column] = ()
+) -> DataFrame:
     """The full cleaned fact.  ``raw`` is the union of all yearly reports with a
-    date; everything but the section lookup is one projection."""
-    df = clean_columns(rename_keep(raw), mode)
+    date; everything but the section lookup is one projection.  ``carry`` names
+    further columns that pass through."""
+    df = clean_columns(rename_keep(raw, carry=carry), mode)
     df = df.withColumn("monthyear", month_year(F.col("date"))).drop("date")
     return attach_meridian(df, meridians)

@@ -67,17 +67,9 @@ def dimension(
     )
 
 
-def dimensions(
-    fact: DataFrame,
-    codes: dict[str, DataFrame],
-    specs: Sequence[DimensionSpec],
-    active_only: bool = True,
-) -> dict[str, DataFrame]:
-    """Several code tables from a single pass over the fact.
-
-    Every row goes to each dimension's month sums in one partial aggregate; the
-    pinned sums (one row per id and month) serve all tables.
-    """
+def month_sums(fact: DataFrame, specs: Sequence[DimensionSpec]) -> DataFrame:
+    """``(table, id, monthyear, _lbs)``: pounds per month and id of every code
+    table, from a single pass over the fact."""
     ids = F.explode(
         F.array(
             *[
@@ -89,23 +81,39 @@ def dimensions(
     spread = fact.select(ids, "lbs_chm_used", "monthyear").select(
         "_d.table", "_d.id", "lbs_chm_used", "monthyear"
     )
-    sums = pin(period_sums(spread, ["table", "id"], "lbs_chm_used"))
+    return period_sums(spread, ["table", "id"], "lbs_chm_used")
+
+
+def tables_of_months(
+    sums: DataFrame,
+    codes: dict[str, DataFrame],
+    specs: Sequence[DimensionSpec],
+    active_only: bool = True,
+) -> dict[str, DataFrame]:
+    """Code tables with the statistics of stored month sums."""
     out = {}
     for spec in specs:
-        own = sums.where(F.col("table") == spec.name)
-        stats = period_stats(
-            own.withColumnRenamed("id", spec.fact_id), [spec.fact_id], "lbs_chm_used"
-        )
-        table = code_table(
-            codes[spec.name],
-            own.withColumnRenamed("id", spec.fact_id),
-            spec,
-            active_only,
-        )
+        own = sums.where(F.col("table") == spec.name).withColumnRenamed("id", spec.fact_id)
+        stats = period_stats(own, [spec.fact_id], "lbs_chm_used")
+        table = code_table(codes[spec.name], own, spec, active_only)
         out[spec.name] = _labeled(table, stats, spec)
     return out
 
 
+def dimensions(
+    fact: DataFrame,
+    codes: dict[str, DataFrame],
+    specs: Sequence[DimensionSpec],
+    active_only: bool = True,
+) -> dict[str, DataFrame]:
+    """Several code tables from a single pass over the fact.
+
+    Every row goes to each dimension's month sums in one partial aggregate; the
+    pinned sums (one row per id and month) serve all tables.
+    """
+    return tables_of_months(pin(month_sums(fact, specs)), codes, specs, active_only)
+
+
 def restricted_codes(materials: DataFrame) -> DataFrame:
     """``(chem_code, Restricted Material)`` of the readable codes in the list."""
     codes = coerce_numeric(materials, ["chem_code"]).dropna(subset=["chem_code"])

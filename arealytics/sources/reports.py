@@ -122,11 +122,13 @@ def read_zipped_reports(
     path: str,
     columns: Sequence[str] = RAW_COLUMNS,
     chunk_rows: int = _CHUNK_ROWS,
+    names: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, failures)`` of zip archives holding one ``<name>.txt`` each.
 
     Every archive is a partition of its own and is read in chunks of
-    ``chunk_rows``, whatever its size.  An archive that cannot be read yields
+    ``chunk_rows``, whatever its size; ``names`` chooses some of them by file
+    name.  An archive that cannot be read yields
     one failure row and none of its rows, and does not stop the others.  The
     parsed text is pinned: both results come from one reading of the archives.
     """
@@ -134,6 +136,8 @@ def read_zipped_reports(
     paths = matching(spark, f"{path.rstrip('/')}/*.zip")
     if not paths and path.endswith(".zip"):
         paths = matching(spark, path)
+    if names is not None:
+        paths = [p for p in paths if p.rsplit("/", 1)[-1] in set(names)]
     if not paths:
         empty = spark.createDataFrame([], schema)
         return empty.drop("_error"), empty.select("_file", "_error")
