@@ -222,11 +222,14 @@ def in_known_language(
     text_column: str = "text", min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """The documents whose main language is known and has at least
-    ``min_share``; all columns are kept."""
+    ``min_share``; all columns are kept.  Without a model, that is without a
+    labelled text to learn from, no language is rejected and all documents with
+    a letter stay."""
     fields = [f.name for f in documents.schema.fields]
     packed = documents.select(F.struct(*[documents[f] for f in fields]).alias("row"))
     if model is None:
-        return documents.where("false")
+        text = documents[text_column].cast("string")
+        return documents.where(F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
     shared = documents.sparkSession.sparkContext.broadcast(model)
     at = fields.index(text_column)
     letters = F.coalesce(F.col(f"row.`{text_column}`").cast("string").rlike(r"\p{L}"), F.lit(False))

@@ -157,15 +157,18 @@ def emit(
         F.col("_key").alias("_mix_key"),
         F.struct("source_size", "target").alias("_mix"),
     ))
-    rows = documents.withColumn("_mix_key", _key(source_column))
+    # columns of the documents may have any name
+    rows = documents.select(
+        F.struct(*[documents[f.name] for f in documents.schema.fields]).alias("row"),
+        documents[id_column].alias("id"),
+        _key(source_column).alias("_mix_key"),
+    )
     joined = lookup_join(rows, targets, ["_mix_key"])
     times = copies(
-        F.col(id_column), F.col("_mix.target"), F.col("_mix.source_size"), seed
+        F.col("id"), F.col("_mix.target"), F.col("_mix.source_size"), seed
     )
     # one array element per copy; a document taken zero times leaves no row
-    return joined.withColumn(
-        "_mix_copy", F.explode(F.array_repeat(F.lit(True), times))
-    ).select(*documents.columns)
+    return joined.select("row", F.explode(F.array_repeat(F.lit(True), times))).select("row.*")
 
 
 MIX_SQL = """

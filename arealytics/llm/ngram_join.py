@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from arealytics.llm.common import (
     ODD,
@@ -37,6 +37,7 @@ from arealytics.llm.common import (
     through_arrow,
 )
 from arealytics.llm.components import components
+from arealytics.operators.keys import dense_index
 from arealytics.session import pin
 
 NGRAM = 5
@@ -356,15 +357,29 @@ def similar_documents(
     )
 
 
-def one_of_each(documents: DataFrame, *, id_column: str = "doc_id", **options) -> DataFrame:
+def one_of_each(
+    documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
     """The documents that remain when one of each group of similar documents
-    stays, the one with the smallest id; rows without words or id stay."""
-    judged = similar_documents(documents, id_column=id_column, **options)
-    going = judged.where("doc_id <> class_id").select(F.col("doc_id").alias(id_column)).distinct()
-    left = documents.join(going, id_column, "left_anti")
-    order = Window.partitionBy(id_column).orderBy(F.lit(1))
-    numbered = left.where(F.col(id_column).isNotNull()).withColumn(
-        "_ngram_row", F.row_number().over(order)
+    stays, the one with the smallest id; rows without words or id stay.
+
+    Rows that share an id are judged by their texts, each for itself, and the
+    smaller text hash goes first; of rows with the same id and text one stays.
+    """
+    fields = [f.name for f in documents.schema.fields]
+    rows = documents.select(
+        F.struct(*[documents[f] for f in fields]).alias("row"),
+        documents[id_column].cast("long").alias("doc_id"),
+        documents[text_column].cast("string").alias("text"),
     )
-    once = numbered.where("_ngram_row = 1").drop("_ngram_row")
-    return once.unionByName(left.where(F.col(id_column).isNull())).select(*documents.columns)
+    named = rows.where("doc_id IS NOT NULL")
+    repeated = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        # every (id, text) gets a number of its own, in the order of the ids
+        hashes = {"_a": F.xxhash64("text"), "_b": F.xxhash64(F.lit(1), F.col("text"))}
+        numbered = dense_index(named.withColumns(hashes), ["doc_id", "_a", "_b"], "_number")
+        named = pin(numbered.withColumnRenamed("_number", "doc_id")).dropDuplicates(["doc_id"])
+    judged = similar_documents(named, **options)
+    going = judged.where("doc_id <> class_id").select("doc_id").distinct()
+    left = named.join(going, "doc_id", "left_anti").select("row")
+    return left.unionByName(rows.where("doc_id IS NULL").select("row")).select("row.*")

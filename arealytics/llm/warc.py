@@ -31,6 +31,7 @@ from arealytics.llm.common import through_arrow
 from arealytics.session import pin, shared_folder
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+DATES = 250_000_000_000  # seconds of the archives' calendar
 ROWS_PER_ARCHIVE = 4_000  # bounds what a task holds of one archive
 ROWS_PER_RANGE = 200_000
 INDEX = (
@@ -103,7 +104,9 @@ def record(epoch: str) -> Column:
         F.col("payload_bytes"), F.lit("\r\n\r\n"),
         F.when(F.col("record_type") == "response", F.col("payload")).otherwise(""),
     )
-    seconds = F.unix_timestamp(F.lit(epoch)) + F.coalesce(F.col("page_id"), F.lit(0))
+    # dates have four-digit years, so very large ids begin anew
+    since = F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(DATES))
+    seconds = F.unix_timestamp(F.lit(epoch)) + since
     address = F.regexp_replace("url", r"[\x00-\x20\x7f]", "%20")
 
     def field(name: str, value: Column) -> Column:
@@ -139,9 +142,21 @@ def write_archives(
     )
 
 
+def inflated(archive: bytes) -> bytes:
+    """All gzip members of an archive, one after the other."""
+    parts = []
+    while archive:
+        member = zlib.decompressobj(31)
+        parts.append(member.decompress(archive) + member.flush())
+        if not member.eof:
+            raise ValueError("the last gzip member is cut off")
+        archive = member.unused_data
+    return b"".join(parts)
+
+
 def records(archive: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """(offset in the plain archive, fields, block) of every record."""
-    plain = zlib.decompress(archive, 31) if archive[:2] == b"\x1f\x8b" else archive
+    plain = inflated(archive) if archive[:2] == b"\x1f\x8b" else archive
     at = 0
     while at < len(plain):
         head_end = plain.index(b"\r\n\r\n", at)

@@ -1,8 +1,11 @@
 """URL rules, source mixing and WARC archives on small tables."""
 
 import base64
+import gzip
 import hashlib
 import random
+import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +156,38 @@ def test_loser_tree_merges():
     for count in (0, 1, 2, 3, 7, 16):
         runs = [sorted(draw.choices(range(50), k=draw.randint(0, 9))) for _ in range(count)]
         assert list(warc.LoserTree(runs)) == sorted(x for r in runs for x in r)
+
+
+def test_emit_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame(
+        [(i, "a b c", "x" if i % 3 else None, "mine", "own", "also", "row") for i in range(40)],
+        "doc_id long, text string, source string, _mix_key string, _mix string, _mix_copy string, row string",
+    )
+    out = mixing.emit(docs)
+    assert out.columns == docs.columns and out.count() > 40
+    assert {tuple(r)[3:] for r in out.collect()} == {("mine", "own", "also", "row")}
+
+
+def test_archives_of_many_members():
+    def one(number, body):
+        head = f"WARC/1.1\r\nWARC-Type: response\r\nX: {number}\r\nContent-Length: {len(body)}\r\n\r\n"
+        return head.encode() + body + b"\r\n\r\n"
+
+    plain = [one(i, b"x" * i) for i in range(5)]
+    whole = b"".join(gzip.compress(p) for p in plain)
+    found = list(warc.records(whole))
+    assert [(f["X"], len(b)) for _, f, b in found] == [(str(i), i) for i in range(5)]
+    assert found == list(warc.records(b"".join(plain))) == list(warc.records(gzip.compress(b"".join(plain))))
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.records(whole[:-9]))
+    with pytest.raises(zlib.error):
+        list(warc.records(whole + b"trailing"))
+
+
+def test_dates_of_large_ids_have_four_digit_years(spark):
+    pages = spark.createDataFrame([(10**18 + 5, "http://a/", "x"), (3, "http://b/", "y")], "page_id long, url string, html string")
+    found = warc.capture_histories(pages).collect()
+    assert sorted(r.page_id for r in found) == [3, 10**18 + 5]
+    archives = warc.with_types(pages.withColumnRenamed("html", "payload"), 0).select(warc.record("2020-01-01 00:00:00").alias("r"))
+    dates = [re.search(r"WARC-Date: (\S+)", r.r)[1] for r in archives.collect()]
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", d) for d in dates)

@@ -187,10 +187,24 @@ def test_repeated_and_missing_ids(spark):
         [(1, 1, 1), (1, 1, 1), (2, 1, 1), (2, 1, 1), (None, None, 0)], key=str
     )
     kept = [r.doc_id for r in ngram_join.one_of_each(docs).collect()]
-    assert sorted(kept, key=str) == [1, None]
+    # the second text of id 2 has no copy
+    assert sorted(kept, key=str) == [1, 2, None]
     assert ngram_join.similar_documents(docs.where("false")).count() == 0
 
 
+def test_texts_of_one_id_are_judged_each_for_itself(spark):
+    long, other = " ".join(map(str, range(30))), " ".join(f"w{i}" for i in range(30))
+    rows = [(2, long + " x", 1, "p"), (2, other, 2, "q"), (2, other, 2, "q"), (1, long, 3, "r"), (3, other + " y", 4, "s"), (4, "", 5, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _ngram_row int, row string")
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, long, 3, "r"), (2, other, 2, "q"), (4, "", 5, "t")]
+    again = ngram_join.one_of_each(docs.repartition(5))
+    assert sorted(kept.collect()) == sorted(again.collect())
+    unique = docs.where("doc_id <> 2")
+    assert sorted(r.doc_id for r in ngram_join.one_of_each(unique).collect()) == [1, 3, 4]
+
+
 def test_bands_reach_the_recall():
     for similarity in (0.5, 0.8, 0.95):
         bands, rows = ngram_join.bands_and_rows(similarity, 0.99)
