@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from arealytics.catalog.areas import _sql_shared, _sql_standard
 from arealytics.catalog.registry import NAMED, query, rounded
 from arealytics.catalog.views import Inputs, div, section_code, tract_code
 from arealytics.functions import projection
@@ -14,8 +15,9 @@ from arealytics.operators import geometry
 from arealytics.operators.contours import trace_rings
 from arealytics.operators.crosswalk import build_crosswalk
 from arealytics.operators.union import union_edges
-from arealytics.plans import crosswalks
+from arealytics.plans import crosswalks, demography
 from arealytics.plans.clean import section_meridians
+from arealytics.specs import COUNTS, INCOME
 
 # A shape family: table, id, origin, and rings as (condition, hole, corners).
 _W, _H = "333e-3", "2e-1"
@@ -529,3 +531,24 @@ def _crosswalk_job(t):
         for name, df in found.items()
     ]
     return rounded(reduce(DataFrame.unionByName, rows), {"AREA_RATIO": 7})
+
+
+NAMED["every_section_sums"] = _sql_shared(COUNTS) + ' GROUP BY "CO_MTRS"'
+NAMED["every_section_income"] = (
+    f'SELECT * EXCLUDE ("{INCOME}"), "{INCOME}" / nullif(w, 0) AS "{INCOME}" FROM every_section_sums'
+)
+NAMED["every_section_figures"] = _sql_standard("every_section_income", "comtrs")
+
+
+@query(
+    "polygon_area_demography",
+    """SELECT f.*, round(g.area, 2) AS "ALAND" FROM every_section_figures f JOIN geo_section_size g ON g.id = f.comtrs""",
+)
+def _polygon_area_demography(t):
+    """Demography of sections with the projected area of their polygons."""
+    areas = crosswalks.section_areas(
+        _on_globe(shapes(t, "section")).withColumnRenamed("id", "CO_MTRS")
+    )
+    crosswalk = t("section_xwalk").withColumnRenamed("CO_MTRS", "comtrs")
+    out = demography.area_demography(areas, crosswalk, t("tract_survey"), "comtrs")
+    return rounded(out, {"ALAND": 2})

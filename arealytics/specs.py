@@ -129,18 +129,16 @@ EXCLUDED_TYPE = "ADJUVANT"
 
 POPULATION = "Total Population"
 INCOME = "Median Household Income (In 2021 Inflation Adjusted Dollars)"
-_NOT_HISPANIC = POPULATION + ": Not Hispanic or Latino: "
-HISPANIC = POPULATION + ": Hispanic or Latino"
-BLACK = _NOT_HISPANIC + "Black or African American Alone"
-WHITE = _NOT_HISPANIC + "White Alone"
-ASIAN = _NOT_HISPANIC + "Asian Alone"
-AIAN = _NOT_HISPANIC + "American Indian and Alaska Native Alone"
-NHPI = _NOT_HISPANIC + "Native Hawaiian and Other Pacific Islander Alone"
+HISPANIC = "Total Population: Hispanic or Latino"
+BLACK = "Total Population: Not Hispanic or Latino: Black or African American Alone"
+WHITE = "Total Population: Not Hispanic or Latino: White Alone"
+ASIAN = "Total Population: Not Hispanic or Latino: Asian Alone"
+AIAN = "Total Population: Not Hispanic or Latino: American Indian and Alaska Native Alone"
+NHPI = "Total Population: Not Hispanic or Latino: Native Hawaiian and Other Pacific Islander Alone"
 OVER_25 = "Population 25 Years and Over:"
 NO_HIGH_SCHOOL = "Population 25 Years and Over: Less than High School"
-_EMPLOYED = "Employed Civilian Population 16 Years and Over"
-EMPLOYED = "Total " + _EMPLOYED
-FARMING = _EMPLOYED + ": Agriculture, Forestry, Fishing and Hunting, and Mining"
+EMPLOYED = "Total Employed Civilian Population 16 Years and Over"
+FARMING = "Employed Civilian Population 16 Years and Over: Agriculture, Forestry, Fishing and Hunting, and Mining"
 
 # counts that are shared out by area; income is averaged instead
 COUNTS = [
