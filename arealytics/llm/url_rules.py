@@ -5,6 +5,9 @@ combinations of their URLs together with the label; rules that support and
 confidence keep, and that beat every rule with one token less, judge the other
 URLs.  A mined rule stands in the inverted index under its rarest token, so a
 URL only meets rules whose rarest token it has, and then must hold the rest.
+Tokens that stand in the same labelled URLs are one item, present when one of
+them is: as rules with one more of them are never kept, this gives the rules
+that mining the tokens would, without the combinations among them.
 Everything is built-in column functions and Spark's own FP-growth.
 
 Defined results: a null URL or one without ``://`` has empty host and path and
@@ -73,6 +76,45 @@ def tokens(url: str, host: str, path: str) -> Column:
     return F.when(F.col(host) == "", F.array().cast("array<string>")).otherwise(found)
 
 
+def alike(labelled: DataFrame, min_support: float) -> DataFrame:
+    """(token, item): frequent tokens that stand in exactly the same rows (tokens,
+    label) as a smaller token, with that token.
+
+    Rows are compared by two xors of their hashes over the different rows, and
+    tokens below the support are left out, so no more than the tokens of a row
+    over the support remain.
+    """
+    rows = labelled.groupBy(F.array_sort("tokens").alias("tokens"), "label").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    total = F.lit(min_support) * labelled.agg(F.count(F.lit(1))).scalar()
+    column = rows.select(
+        F.explode("tokens").alias("token"),
+        "n",
+        F.xxhash64("tokens", "label").alias("a"),
+        F.xxhash64(F.lit(1), "label", "tokens").alias("b"),
+    ).groupBy("token").agg(
+        F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"),
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"),
+    ).where(F.col("n") >= total)
+    same = column.groupBy("a", "b", "rows").agg(
+        F.min("token").alias("item"), F.collect_set("token").alias("tokens")
+    )
+    return same.select(F.explode("tokens").alias("token"), "item").where("token <> item")
+
+
+def as_items(tokens: str, same: DataFrame) -> Column:
+    """The tokens with one item for each set of tokens that are alike; their
+    table, whose size ``alike`` bounds, becomes part of the expression."""
+    pairs = sorted(same.collect())
+    if not pairs:
+        return F.col(tokens)
+    known = F.map_from_arrays(F.lit([t for t, _ in pairs]), F.lit([i for _, i in pairs]))
+    return F.array_distinct(
+        F.transform(tokens, lambda x: F.coalesce(F.try_element_at(known, x), x))
+    )
+
+
 def mine(labelled: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """Rules (antecedent, label, confidence, support, rarest) from rows
     (tokens, label)."""
@@ -174,7 +216,11 @@ def filter_urls(
             of_urls.where("stated IS NULL AND url IS NOT NULL").groupBy("url")
             .agg(F.first("tokens").alias("tokens"))
         )
-        judged = judge(asked, mine(labelled, min_support, min_confidence))
+        items = as_items("tokens", alike(labelled, min_support))
+        judged = judge(
+            asked.withColumn("tokens", items),
+            mine(labelled.withColumn("tokens", items), min_support, min_confidence),
+        )
     else:
         judged = rows.select("url", F.lit(usual).alias("label")).where("false")
     return rows.join(judged, "url", "left").select(

@@ -191,3 +191,41 @@ def test_dates_of_large_ids_have_four_digit_years(spark):
     archives = warc.with_types(pages.withColumnRenamed("html", "payload"), 0).select(warc.record("2020-01-01 00:00:00").alias("r"))
     dates = [re.search(r"WARC-Date: (\S+)", r.r)[1] for r in archives.collect()]
     assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", d) for d in dates)
+
+
+def shop_links(count, fields):
+    draw = random.Random(7)
+    pages = []
+    for i in range(count):
+        kind = i % 4
+        query = "&".join(f"f{n}=1" for n in range(fields))
+        if kind == 0:
+            pages.append((i, f"http://s{i}.com/de/x?{query}"))  # blocked, all fields
+        elif kind == 1:
+            pages.append((i, f"http://s{i}.com/fr/x?f{draw.randrange(fields)}x=1"))
+        elif kind == 2:
+            pages.append((i, f"http://s{i}.net/?f{draw.randrange(fields)}=1&z={i}"))  # any one field
+        else:
+            pages.append((i, f"http://s{i}.net/y/{draw.choice(['fr', 'de', 'it'])}"))
+    return pages
+
+
+def test_tokens_that_go_together_are_one_item(spark):
+    pages = spark.createDataFrame(shop_links(80, 3), "page_id long, url string")
+    rows = pages.select("url").withColumns({"h": url_rules.host("url"), "p": url_rules.path("url")})
+    rows = rows.withColumn("tokens", url_rules.tokens("url", "h", "p")).withColumn(
+        "label", url_rules.stated(url_rules.RULES, "h", "p")["verdict"]
+    )
+    labelled, asked = rows.where("label IS NOT NULL").select("tokens", "label"), rows.where("label IS NULL").select("url", "tokens")
+    same = url_rules.alike(labelled, 0.01)
+    assert {(r.token, r.item) for r in same.collect()} >= {("q:f1", "p:de"), ("q:f0", "p:de")}
+    plain = dict(url_rules.judge(asked, url_rules.mine(labelled, 0.01, 0.6)).collect())
+    items = url_rules.as_items("tokens", same)
+    merged = url_rules.mine(labelled.withColumn("tokens", items), 0.01, 0.6)
+    assert dict(url_rules.judge(asked.withColumn("tokens", items), merged).collect()) == plain != {}
+
+
+def test_links_with_many_fields(spark):
+    pages = spark.createDataFrame(shop_links(80, 40), "page_id long, url string")
+    found = {r.page_id: r.verdict for r in url_rules.filter_urls(pages).collect()}
+    assert len(found) == 80 and all(found[i] == "block" for i in range(2, 80, 4))
