@@ -231,7 +231,7 @@ def base_scores(rows, trains):
 
 def test_word_model(spark, monkeypatch):
     monkeypatch.setattr(pitman_yor, "CHUNK_TEXTS", 37)
-    monkeypatch.setattr(pitman_yor, "MAX_CONTEXTS", 12)  # so that both kinds of context occur
+    monkeypatch.setattr(pitman_yor, "FREQUENT", 12)  # so that both kinds of context occur
     draw = random.Random(9)
     rows = []
     for i in range(250):
@@ -246,7 +246,10 @@ def test_word_model(spark, monkeypatch):
     found = {r.doc_id: r for r in scored.collect()}
     tokens, counts, base = base_scores(rows, lambda i: i % 5 != 1)
     assert len(found) == len(rows) and model.tokens == sum(counts.values()) and model.words == len(counts)
-    assert 0 < len(model.frequent.words) <= 12
+    assert 1 < len(model.frequent.words) <= 13
+    # every word that another follows has a restaurant, and so has the beginning
+    contexts = {w for i, t in tokens.items() if i % 5 != 1 for w in t if w is not None}
+    assert model.contexts == len(contexts) + 1
     for i, t in tokens.items():
         assert found[i].n_tokens == len(t)
         assert found[i].n_known == sum(w in counts for w in t)
@@ -257,29 +260,142 @@ def test_word_model(spark, monkeypatch):
     assert {r.doc_id: r.score for r in again.collect()} == {i: r.score for i, r in found.items()}
 
 
-def test_word_model_probabilities_add_up(spark, monkeypatch):
-    monkeypatch.setattr(pitman_yor, "MAX_CONTEXTS", 4)
+@pytest.mark.parametrize("frequent", [4, 50_000])
+def test_word_model_probabilities_add_up(spark, monkeypatch, frequent):
+    monkeypatch.setattr(pitman_yor, "FREQUENT", frequent)
     draw = random.Random(4)
     rows = [(i, " ".join(draw.choices("a b c d e".split(), [9, 3, 3, 1, 1], k=8))) for i in range(40)]
     training = spark.createDataFrame(rows, "doc_id long, text string")
-    model, pairs = pitman_yor.fit(training)
-    # directly: all dishes of one context and the unknown add up to one
-    buckets = [pitman_yor._load(r.asDict(), model.frequent) for r in pairs.collect()]
-    words = np.unique(np.concatenate([b.words for b in buckets]))
-    for context in range(len(model.frequent.words) + 1):
+    model, seating = pitman_yor.fit(training)
+    assert model.contexts == 6
+    # directly: all words after one context and the unknown one add up to one
+    buckets = {r["bucket"]: pitman_yor.Bucket(r.asDict(), model.frequent) for r in seating.dishes.collect()}
+    whole = {}
+    for row in seating.contexts.collect():
+        names = np.frombuffer(row["names"], np.uint64)
+        totals = np.frombuffer(row["totals"], np.uint32).reshape(-1, len(names))
+        for i, name in enumerate(names):
+            whole[int(name)] = np.frombuffer(row["customers"], np.uint32)[i], totals[:, i]
+    empty = dict.fromkeys(("words", "sizes", "contexts", "others", "counts"), b"")
+    scorers = {n: pitman_yor._Scorer(b, model, 1) for n, b in buckets.items()}
+    words = np.unique(np.concatenate([b.words for b in buckets.values()]))
+    unknown = np.uint64(7 << 56 | 12345)
+    for context in np.concatenate([words, [pitman_yor.BEGIN, unknown]]):
+        place = int(model.frequent.find(np.array([context]))[0])
         total = 0.0
-        for word in np.append(words, np.uint64(12345)):
-            place = model.frequent.find(np.array([word]))
-            parent = model.frequent.parents(np.array([context]))
-            number = int(pitman_yor._buckets(np.array([word]), place, parent, model.buckets)[0])
-            row = next((r.asDict() for r in pairs.collect() if r["bucket"] == number), None)
-            empty = {"bucket": number, "words": b"", "sizes": b"", "contexts": b"", "counts": b""}
-            scorer = pitman_yor._Scorer(pitman_yor._load(row or empty, model.frequent), model, 1)
-            logs, _, _ = scorer.log10(np.array([word]), np.array([1]), np.array([context], np.uint16))
-            total += 10 ** float(logs[0])
+        for word in np.append(words, unknown):
+            number = int(pitman_yor._deal(
+                np.array([word]), model.frequent.find(np.array([word])),
+                pitman_yor._class(np.array([context])), model.buckets,
+            )[0])
+            if number not in scorers:
+                bare = pitman_yor.Bucket({"bucket": number, **empty}, model.frequent)
+                scorers[number] = pitman_yor._Scorer(bare, model, 1)
+            logs, _, _, asked, above = scorers[number].score(
+                np.array([word]), np.array([1]),
+                np.array([place if place >= 0 else pitman_yor.OTHER], np.uint16),
+                np.array([] if place >= 0 else [context], np.uint64),
+            )
+            if asked[0]:
+                customers, totals = whole.get(int(context), (0, np.zeros(3)))
+                shares = [
+                    (1 + model.discounts[2] * float(totals[s - 1])) / (1 + float(customers)) for s in (2, 3)
+                ]
+                total += np.mean([share * a[0] for share, a in zip(shares, above)])
+            else:
+                total += 10 ** float(logs[0])
         assert total == pytest.approx(1.0, abs=1e-9)
 
 
+def direct_scores(texts, wanted, discounts, sweeps, burn_in):
+    """Customers are taken out and seated again one by one."""
+    draw = random.Random(5)
+    ending = lambda w: "^" if w == "^" else int(pitman_yor._class(np.array([hashed(w)]))[0])
+
+    def hashed(word):
+        places = pitman_yor._Places()
+        places[word.encode()]
+        return places.hashes()[2]
+
+    class_of = {w: ending(w) for t in texts + wanted for w in ["^", *t.split()]}
+    kinds = len({w for t in texts for w in [*t.split(), "$"]})
+    seats = collections.defaultdict(lambda: collections.defaultdict(list))  # restaurant -> dish -> tables
+
+    def above(place):
+        return {2: lambda: (1, class_of[place[1]]), 1: lambda: (0, None)}[place[0]]()
+
+    def chance(place, word):
+        if place is None:
+            return 1 / (kinds + 1)
+        tables, d = seats[place], discounts[place[0]]
+        own = tables.get(word, [])
+        size, count = sum(map(sum, tables.values())), sum(map(len, tables.values()))
+        up = chance(above(place) if place[0] else None, word)
+        return (sum(own) - d * len(own) + (1 + d * count) * up) / (1 + size)
+
+    def add(place, word):
+        tables, d = seats[place][word], discounts[place[0]]
+        up = chance(above(place) if place[0] else None, word)
+        count = sum(map(len, seats[place].values()))
+        weights = [n - d for n in tables] + [(1 + d * count) * up]
+        at = draw.choices(range(len(weights)), weights)[0]
+        if at < len(tables):
+            tables[at] += 1
+        else:
+            tables.append(1)
+            if place[0]:
+                add(above(place), word)
+
+    def remove(place, word):
+        tables = seats[place][word]
+        at = draw.choices(range(len(tables)), tables)[0]
+        tables[at] -= 1
+        if not tables[at]:
+            tables.pop(at)
+            if place[0]:
+                remove(above(place), word)
+
+    customers = [((2, u), w) for t in texts for u, w in zip(["^", *t.split()], [*t.split(), "$"])]
+    for place, word in customers:
+        add(place, word)
+    sums, samples = collections.Counter(), 0
+    pairs = {((2, u), w) for t in wanted for u, w in zip(["^", *t.split()], [*t.split(), "$"])}
+    for sweep in range(sweeps):
+        for place, word in customers:
+            remove(place, word)
+            add(place, word)
+        if sweep >= burn_in:
+            samples += 1
+            for place, word in pairs:
+                sums[place, word] += chance(place, word)
+    return [
+        sum(math.log10(sums[(2, u), w] / samples) for u, w in zip(["^", *t.split()], [*t.split(), "$"]))
+        for t in wanted
+    ]
+
+
+@pytest.mark.parametrize("frequent", [6, 50_000])
+def test_word_model_follows_a_direct_sampler(spark, monkeypatch, frequent):
+    monkeypatch.setattr(pitman_yor, "FREQUENT", frequent)
+    draw = random.Random(8)
+    follow = {w: draw.sample("a b c d e f g h i j k l".split(), 3) for w in "a b c d e f g h i j k l".split()}
+    texts = []
+    for _ in range(30):
+        words = [draw.choice("abc")]
+        while len(words) < 8:
+            words.append(draw.choice(follow[words[-1]]) if draw.random() < 0.8 else draw.choice("abcdefghijkl"))
+        texts.append(" ".join(words))
+    wanted = [*texts[:6], "a a b", "l k j i", "zz a", "c"]
+    model, seating = pitman_yor.fit(
+        spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), sweeps=30
+    )
+    docs = spark.createDataFrame(list(enumerate(wanted)), "doc_id long, text string")
+    found = {r.doc_id: r for r in pitman_yor.score_texts(docs, model, seating, burn_in=5).collect()}
+    expected = direct_scores(texts, wanted, model.discounts, 150, 20)
+    for i, score in enumerate(expected):
+        assert found[i].score / found[i].n_tokens == pytest.approx(score / found[i].n_tokens, abs=0.03)
+
+
 def test_word_model_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     scored, model = pitman_yor.score_corpus(docs, F.lit(False))
