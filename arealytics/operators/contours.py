@@ -139,7 +139,7 @@ def trace_rings(edges: DataFrame) -> DataFrame:
     )
     layer = to_edges(outer.withColumn("rings", rings_from_points(F.col("points"))), "ring")
     around = (
-        points_within(points, pin(layer))
+        points_within(points, layer)
         .join(holes.select(F.col("ring").alias("point"), F.col("id").alias("_of"), "area"), "point")
         .join(outer.select(F.col("ring").alias("id"), F.col("id").alias("_by"), F.col("area").alias("_size")), "id")
         .where("_of = _by AND _size > -area")

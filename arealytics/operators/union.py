@@ -23,7 +23,7 @@ from arealytics.operators.geometry import (
     _slab_level,
     _width_levels,
 )
-from arealytics.operators.joins import lookup_join
+from arealytics.operators.joins import fits_stored, lookup_join
 from arealytics.session import pin
 
 TOUCH = 1e-10  # distance, as a share of two edges' lengths, that counts as none
@@ -217,7 +217,7 @@ def _covering(pieces: DataFrame, named: DataFrame, pairs: DataFrame) -> DataFram
     asked = asked.withColumn("lv", F.explode(F.array(*map(F.lit, levels)))).withColumn(
         "slab", _cell(F.col("x"), F.col("lv"))
     )
-    met = lookup_join(asked, cut, ["id", "lv", "slab"], "inner")
+    met = lookup_join(asked, cut, ["id", "lv", "slab"], "inner", fits_stored(named, 2))
     x, y = F.col("x"), F.col("y")
     x0, y0, x1, y1 = map(F.col, _ENDS)
     below = y < y0 + (y1 - y0) * (x - x0) / (x1 - x0)

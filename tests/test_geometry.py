@@ -11,8 +11,10 @@ from arealytics.functions.projection import from_grid, project_grid
 from arealytics.operators import geometry as g
 from arealytics.operators.contours import trace_rings
 from arealytics.operators.crosswalk import build_crosswalk
+from arealytics.operators.joins import fits_broadcast, fits_stored
 from arealytics.operators.union import union_edges
 from arealytics.plans.older import section_points
+from arealytics.session import pin
 from arealytics.sources.shapes import decode_wkb, read_geojson
 from arealytics.sinks import write_geojson
 
@@ -234,6 +236,33 @@ def test_no_nested_loops(spark, layer, capsys):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
 
 
+def test_size_checks_go_by_rows(spark, capsys):
+    """A layer whose files are small, as its values repeat, is not broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    sides = [(0, 0, 1, 0, 1), (0, 0, 0, 1, 0), (1, 0, 1, 1, 0), (0, 1, 1, 1, -1)]
+    columns = ["x0", "y0", "x1", "y1"]
+    made = F.array(
+        *[
+            F.struct(*[F.lit(float(v)).alias(c) for v, c in zip(x, columns)], F.lit(x[4]).alias("sign"))
+            for x in sides
+        ]
+    )
+    many = spark.range(20000).select(F.col("id").cast("string").alias("id"), F.inline(made))
+    stored = pin(many)
+    points = spark.createDataFrame([("in", 0.5, 0.5), ("out", 3.0, 0.5)], "point string, x double, y double")
+    try:
+        spark.conf.set(name, "2m")
+        assert fits_broadcast(stored) and not fits_stored(stored)
+        found = g.points_within(points, stored)
+        found.explain()
+        plan = capsys.readouterr().out
+        assert found.groupBy("point").count().collect() == [("in", 20000)]
+    finally:
+        spark.conf.set(name, before)
+    assert any("SortMergeJoin" in line and "slab" in line for line in plan.splitlines())
+
+
 def _wkb(polygons, order="<", z=False, multi=False):
     flag = 1 if order == "<" else 0
 
