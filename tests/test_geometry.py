@@ -263,6 +263,30 @@ def test_size_checks_go_by_rows(spark, capsys):
     assert any("SortMergeJoin" in line and "slab" in line for line in plan.splitlines())
 
 
+def test_boxes_meet_without_broadcast_of_many(spark, capsys):
+    """Overlays look at the number of boxes too, not at the size of their files."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    x = F.col("id").cast("double") % 10
+    boxes = pin(
+        spark.range(20000).select(
+            F.col("id").cast("string").alias("id"), x.alias("xmin"), (x + 1.0).alias("xmax"),
+            F.lit(0.0).alias("ymin"), F.lit(1.0).alias("ymax"), F.lit(0).alias("level"),
+        )
+    )
+    one = pin(boxes.where("id = '3'"))
+    try:
+        spark.conf.set(name, "2m")
+        assert fits_broadcast(boxes)
+        met = g._meet(one, boxes, strict=False)
+        met.explain()
+        plan = capsys.readouterr().out
+        assert met.count() == 6000  # those that end, start or lie there
+    finally:
+        spark.conf.set(name, before)
+    assert any("SortMergeJoin" in line and "cx" in line for line in plan.splitlines())
+
+
 def _wkb(polygons, order="<", z=False, multi=False):
     flag = 1 if order == "<" else 0
 
