@@ -86,6 +86,39 @@ def test_dense_index_with_borders_inside_keys(spark):
     assert {r.use_index for r in nulls.collect()} == {0}
 
 
+def python_nodes(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Arrow")
+
+
+def test_dense_index_numbers_rows_without_python(spark, skewed):
+    df = spark.createDataFrame(skewed.toPandas(), skewed.schema)
+    assert python_nodes(keys._counted(df, ["k"])) == python_nodes(df)
+
+
+def test_dense_index_deals_hot_keys_to_several_ranges(spark):
+    data = [(1, 2020.5, v) for v in range(900)] + [(None, 1.0, v) for v in range(900)] + [(k, 1.0, k) for k in range(2, 50)]
+    df = spark.createDataFrame(data, "k int, x double, v int").withColumns({"_k": F.col("k"), "_x": F.col("x")})
+    counted = keys._counted(df, ["k", "x"])
+    spread = {r.k: r.n for r in counted.groupBy("k").agg(F.countDistinct("_part").alias("n")).collect()}
+    assert spread[1] > 1 and spread[None] > 1
+    out = keys.dense_index(df, ["k", "x"])
+    found = {(r._k, r._x, r.use_index) for r in out.collect()}
+    expected = {(1, 2020.5, 0), (None, 1.0, 49)} | {(k, 1.0, k - 1) for k in range(2, 50)}
+    assert found == expected and out.count() == len(data)
+
+
+def test_plain_pounds_read_as_the_long_form(spark):
+    values = [1.0, 12.25, 0.1 + 0.2, 0.5, 9999999.99, 9999999.999999998, 1e7, 123456.7890123, 1.1 + 2.2, 100.0, -3.5, 0.0]
+    values += [1.23456789012345, 1.234567890123456, 1048576.0, 4.35, 2.675]
+    df = spark.createDataFrame([("m", "n", v, "s") for v in values], "monthyear string, use_number string, lbs_prd_used double, comtrs string")
+    expected = []
+    for v in values:
+        text = f"{v:.14e}"
+        left = v - float(text)
+        expected.append(f"mn{text}{f'{left:+.14e}' if left else ''}s")
+    assert [r[0] for r in df.select(keys.use_id()).collect()] == expected
+
+
 def test_keys_tell_all_doubles_apart(spark):
     values = [0.1 + 0.2, 0.3, 1e300, np.nextafter(1e300, 2e300), 5e-324, 0.0, -7.25, 123456789.123456789]
     values += [np.nextafter(123456789.123456789, 0), 1.0, np.nextafter(1.0, 2)]
