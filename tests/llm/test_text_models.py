@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -396,6 +397,31 @@ def test_word_model_follows_a_direct_sampler(spark, monkeypatch, frequent):
         assert found[i].score / found[i].n_tokens == pytest.approx(score / found[i].n_tokens, abs=0.03)
 
 
+def test_word_model_holds_the_answers_of_one_part(spark, monkeypatch):
+    draw = random.Random(6)
+    rows = [(i, " ".join(draw.choices("a b c d e f".split(), k=8))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, seating = pitman_yor.fit(docs)
+    store, answers, held = pitman_yor._store, [], []
+
+    def watched(df):
+        stored = store(df)
+        if "above" in df.columns:
+            answers.append([Path(f.removeprefix("file:")) for f in stored.inputFiles()])
+            held.append(sum(any(f.exists() for f in files) for files in answers))
+        return stored
+
+    monkeypatch.setattr(pitman_yor, "_store", watched)
+    whole, parts = (
+        {r.doc_id: r for r in pitman_yor.score_texts(docs, model, seating, rounds=n).collect()} for n in (1, 3)
+    )
+    assert held == [1, 1, 1, 1] and all(answers)
+    assert not any(f.exists() for files in answers for f in files)
+    assert whole.keys() == parts.keys() == {i for i, _ in rows}
+    for i, row in whole.items():
+        assert parts[i] == pytest.approx(row, abs=1e-9)
+
+
 def test_word_model_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     scored, model = pitman_yor.score_corpus(docs, F.lit(False))
