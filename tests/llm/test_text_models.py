@@ -6,11 +6,12 @@ import random
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from arealytics.llm import language, ngram_join, pitman_yor, toxicity
-from arealytics.llm.common import remainder
+from arealytics.llm.common import lower_words, remainder
 from arealytics.llm.components import components
 
 WORDS = {
@@ -422,6 +423,47 @@ def test_word_model_holds_the_answers_of_one_part(spark, monkeypatch):
         assert parts[i] == pytest.approx(row, abs=1e-9)
 
 
+def test_word_model_draws_nothing_while_scoring(spark, monkeypatch):
+    draw = random.Random(7)
+    rows = [(i, " ".join(draw.choices("a b c d e f".split(), k=8))) for i in range(60)]
+    model, seating = pitman_yor.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert pitman_yor._log_stirling(model.discounts[0]) is pitman_yor._log_stirling(model.discounts[0])
+
+    def never(*_):
+        raise AssertionError("a sweep is drawn again")
+
+    monkeypatch.setattr(pitman_yor, "draw_tables", never)
+    found = [pitman_yor.Bucket(r.asDict(), model.frequent) for r in seating.dishes.collect()]
+    assert found
+    last = model.record[-1]
+    scorers = [pitman_yor._Scorer(bucket, model, 0) for bucket in found]
+    assert all([s.at for s in scorer.samples] == [1, 2, 3] for scorer in scorers)
+    # the stored seatings are those that the recorded totals were added up from
+    assert sum(bucket.parent_tables.sum() for bucket in found) == last.tables[1].sum()
+    assert sum(bucket.totals()[3] for bucket in found).tolist() == last.tables[2].tolist()
+
+
+def test_words_of_a_chunk():
+    draw = random.Random(3)
+    texts = [None, "", " ", "\t A\x0bb\x0c\n", "\x1cÉ é\x85ß\u3000z \x00"]
+    texts += ["".join(draw.choices("aBé \n\t\x1d\u3000", k=draw.randint(0, 30))) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    (chunk,) = pitman_yor._chunks([batch], 1)
+    at = 0
+    for text, size in zip(texts, chunk.sizes):
+        places = pitman_yor._Places()
+        tokens = [places[w] for w in lower_words(text)] + [0]
+        assert places.hashes()[tokens].tolist() == chunk.words[chunk.tokens[at : at + size]].tolist()
+        at += size
+    assert at == len(chunk.tokens) and chunk.ids == list(range(len(texts)))
+
+
+@pytest.mark.parametrize("values", [[[1, 2], [3, 255]], [[256, 0]], [[1, 70_000], [2, 3]], [[], []]])
+def test_planes(values):
+    values = np.array(values, np.int64)
+    assert pitman_yor._from_planes(pitman_yor._planes(values), *values.shape).tolist() == values.tolist()
+
+
 def test_word_model_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     scored, model = pitman_yor.score_corpus(docs, F.lit(False))
