@@ -423,6 +423,37 @@ def test_word_model_holds_the_answers_of_one_part(spark, monkeypatch):
         assert parts[i] == pytest.approx(row, abs=1e-9)
 
 
+def test_word_model_redraws_every_context_given_its_parent(spark, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "FREQUENT", 4)
+    draw = random.Random(11)
+    words = "a b c d e f g h".split()
+    rows = [(i, " ".join(draw.choices(words, [9, 3, 3, 2, 2, 1, 1, 1], k=12))) for i in range(60)]
+    model, seating = pitman_yor.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    changed = 0
+    for row in seating.dishes.collect():
+        stored = pitman_yor.Bucket(row.asDict(), model.frequent).seats
+
+        def drawn(at):
+            bucket = pitman_yor.Bucket(row.asDict(), model.frequent)
+            bucket.seats = [seats[:at] for seats in stored]
+            bucket.sweep(model, at - 1)
+            whole = bucket.drawn[1][at - 1] if len(bucket.names) else None
+            bucket.sweep(model, at, whole)
+            return bucket
+
+        # each seating is drawn from the one before, its parents' totals and its contexts' totals
+        for at in (1, 2):
+            bucket = drawn(at)
+            found = bucket.tables, bucket.parent_tables, bucket.root_tables
+            assert [pitman_yor._planes(x) for x in found] == [bytes(seats[at]) for seats in stored]
+        before, totals = drawn(2), model.record[2].tables[1]
+        model.record[2].tables[1] = totals * 1000
+        after = drawn(2)
+        model.record[2].tables[1] = totals
+        changed += (before.tables != after.tables)[before.other].sum()
+    assert changed
+
+
 def test_word_model_draws_nothing_while_scoring(spark, monkeypatch):
     draw = random.Random(7)
     rows = [(i, " ".join(draw.choices("a b c d e f".split(), k=8))) for i in range(60)]
