@@ -236,6 +236,18 @@ def test_no_nested_loops(spark, layer, capsys):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
 
 
+def test_overlay_plan_holds_each_step_once(spark, no_broadcast):
+    """Joins that count their hot keys name their left side three times over; one
+    behind the other they made plans that filled the driver."""
+    shapes = [(f"s{i}", square(0.4 * i, 0.0, 0.5 + i % 3)) for i in range(12)]
+    layers = [g.to_edges(frame(spark, {n: shape((False, c)) for n, c in shapes}), "id") for _ in range(2)]
+    ratios = g.overlay_ratios(*layers, "s", "t")
+    plan = ratios._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("Relation [") <= 20
+    found = {(r["s"], r["t"]): r["AREA_RATIO"] for r in ratios.collect()}
+    assert found["s0", "s0"] == 1.0 and found["s0", "s1"] == pytest.approx(0.2)
+
+
 def test_size_checks_go_by_rows(spark, capsys):
     """A layer whose files are small, as its values repeat, is not broadcast."""
     name = "spark.sql.autoBroadcastJoinThreshold"
