@@ -248,6 +248,18 @@ def test_overlay_plan_holds_each_step_once(spark, no_broadcast):
     assert found["s0", "s0"] == 1.0 and found["s0", "s1"] == pytest.approx(0.2)
 
 
+def test_layers_are_met_once_for_both_ways(spark, monkeypatch):
+    shapes = [{f"{n}{i}": shape((False, square(at * i, 0.1 * i, side))) for i in range(4)} for n, at, side in (("s", 0.7, 1.0), ("t", 0.9, 1.5))]
+    edges = [g.to_edges(frame(spark, some), "id") for some in shapes]
+    layers, common, met = [g.stored_layer(e) for e in edges], g._common, []
+    monkeypatch.setattr(g, "_common", lambda a, b: met.append(1) or common(a, b))
+    there, back = g.overlay_ratios(*layers, "s", "t"), g.overlay_ratios(*layers[::-1], "t", "s")
+    assert len(met) == 1
+    assert sorted(there.collect()) == sorted(g.overlay_ratios(*edges, "s", "t").collect())
+    assert sorted(back.collect()) == sorted(g.overlay_ratios(*edges[::-1], "t", "s").collect())
+    assert there.count() > 4
+
+
 def test_size_checks_go_by_rows(spark, capsys):
     """A layer whose files are small, as its values repeat, is not broadcast."""
     name = "spark.sql.autoBroadcastJoinThreshold"
