@@ -1,10 +1,14 @@
 import random
+import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import Observation, functions as F
 
+from arealytics import session
 from arealytics.operators import aggregates, crosswalk, filters, joins, keys
 from arealytics.plans import units
 from arealytics.specs import TRACT
@@ -86,6 +90,52 @@ def test_dense_index_with_borders_inside_keys(spark):
     assert {r.use_index for r in nulls.collect()} == {0}
 
 
+def test_dense_index_stores_no_keys_but_those_at_range_ends(spark, monkeypatch):
+    df = spark.range(400).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    stored = []
+    monkeypatch.setattr(keys, "pin", lambda part: stored.append(session.pin(part)) or stored[-1])
+    out = keys.dense_index(df, ["k"])
+    order = sorted(map(str, range(400)))
+    assert [order[r.use_index] for r in out.orderBy("v").collect()] == [str(i) for i in range(400)]
+    assert "k" not in stored[0].columns
+    assert stored[0].where("_end IS NOT NULL").count() <= 2 * 2 * 4  # of two ranges to a task
+
+
+def test_pin_gives_back_the_shuffle_files_of_its_way(spark):
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return set(re.findall(r"shuffle_(\d+)_", blocks.mkString(" ")))
+
+    before = shuffled()
+    kept = session.pin(spark.range(1000).repartition(3, "id"))
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before and kept.count() == 1000
+    assert spark.conf.get(session.CLEAN_UP, "false") == "false"
+
+
+def test_levels_that_come_one_by_one_are_given_back(spark):
+    rows_ = [(1, "AG", 2.0, 3.0), (1, "AG", 4.0, 3.0), (2, None, 1.0, 5.0)]
+    fact = spark.createDataFrame(rows_, "use_id int, usetype string, lbs_chm_used double, lbs_prd_used double")
+    there, held = [], []
+
+    def levels():
+        for name in ("county", "section"):
+            held.append(sum(Path(f.removeprefix("file:")).exists() for files in there for f in files))
+            level = keys.dense_index(fact, ["use_id"])
+            there.append(level.inputFiles())
+            yield name, level
+
+    out = units.reconcile(fact, levels())
+    assert {r["diff"] for r in out.collect()} == {0.0} and out.count() == 8
+    assert held == [0, 0] and all(there)
+    kept = keys.dense_index(fact, ["use_id"])
+    units.reconcile(fact, {"county": kept})
+    assert kept.count() == 3
+
+
 def python_nodes(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Arrow")
 
